@@ -5,18 +5,37 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, packing, quality_rules, secret_scan
+from . import decontaminate, jaccard_join, packing, quality_rules, secret_scan, sharding, substring_dedup, suffix_dedup, suffix_tree_lm, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.repeats(_table(spark, sf_dir, "documents")))
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.classes(_table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(_table(spark, sf_dir, "documents"))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the newest version of the store reads, after arrivals, merges and a vacuum."""
+    store, manifest = sharding.round_trip(_table(spark, sf_dir, "documents"))
+    return store.read(manifest.version).select("doc_id", "lang", "source", "n_chars", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
+def op5_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree_lm.score(_table(spark, sf_dir, "documents"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.find(_table(spark, sf_dir, "documents")))
 
@@ -29,10 +48,18 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.measure(_table(spark, sf_dir, "documents")))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, _table(spark, sf_dir, "labels")))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_policy(quality_rules.ledger(_table(spark, sf_dir, "documents"))).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_bits")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_ngram_jaccard_join, op6_secret_scan, op7_decontaminate, op8_best_fit_packing, op10_quality_rules)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (op1_suffix_array_dedup, op2_substring_dedup, op3_ngram_jaccard_join, op4_sharding, op5_suffix_tree_lm, op6_secret_scan, op7_decontaminate, op8_best_fit_packing, op9_toxicity, op10_quality_rules)
+}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op4_sharding": "SELECT doc_id, lang, source, n_chars, sha256(text) AS text_sha256 FROM documents"}
