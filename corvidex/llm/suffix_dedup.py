@@ -38,7 +38,9 @@ KMER = 24
 #: Windows hashed at once: arrays of this many numbers stay in the cache.
 CHUNK = 1 << 18
 #: Bytes in one suffix array; candidates of a shard beyond it take several, which merge like shards do.
-ARRAY_BYTES = 4 << 20
+ARRAY_BYTES = 2 << 20
+#: Text bytes in a shard; its arrays take about 20 times as much.
+SHARD_BYTES = 16 << 20
 #: Anchors or windows in a bucket, on average.
 BUCKET_KEYS = 1_500_000
 
@@ -152,23 +154,26 @@ def suffix_array(raw: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     return order, rank[:n]
 
 
-def common_prefixes(raw: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
+def common_prefixes(raw: np.ndarray, order: np.ndarray, rank: np.ndarray, most: int) -> np.ndarray:
     """Bytes that each entry of a suffix array shares with the entry before it, up to ``most``.
 
-    Kasai's bound, that the value at a place is at least that of the place
-    before less one, spares comparisons: every eighth place is compared from
-    its first byte, the seven after it only from the bound on.
+    Entries of one rank share ``most`` bytes and more. Elsewhere Kasai's bound,
+    that the value at a place is at least that of the place before less one,
+    spares comparisons: every eighth place is compared from its first byte, the
+    seven after it from the bound on. The bound needs the place before to be
+    sorted by bytes, so one that shares ``most`` gives none.
     """
     n = len(order)
     before = np.empty(n, np.int64)
     before[order[0]] = -1
     before[order[1:]] = order[:-1]
+    tied = (before >= 0) & (rank[np.maximum(before, 0)] == rank)
     padded = np.concatenate([raw, np.zeros(most + 8, np.uint8)])
     word = np.ndarray((len(padded) - 7,), "<u8", padded, 0, (1,))
-    value = np.zeros(n, np.int64)
+    value = np.where(tied, np.minimum(most, n - np.maximum(np.arange(n), before)), 0)
 
     def extend(places: np.ndarray) -> None:
-        live = places[before[places] >= 0]
+        live = places[(before[places] >= 0) & ~tied[places]]
         while len(live):
             at = value[live]
             differ = word[live + at] ^ word[before[live] + at]
@@ -181,18 +186,19 @@ def common_prefixes(raw: np.ndarray, order: np.ndarray, most: int) -> np.ndarray
     extend(np.arange(0, n, 8))
     for k in range(1, 8):
         places = np.arange(k, n, 8)
-        has = before[places] >= 0
-        value[places] = np.where(has, np.maximum(value[places - 1] - 1, 0), 0)
-        # The bound holds for the place's own neighbour, clipped at the end of the text.
-        value[places] = np.minimum(value[places], np.where(has, n - np.maximum(places, before[places]), 0))
+        known = (before[places] >= 0) & ~tied[places]
+        bound = np.where(value[places - 1] < most, np.maximum(value[places - 1] - 1, 0), 0)
+        # Clipped at the end of the text.
+        bound = np.minimum(bound, n - np.maximum(places, before[places]))
+        value[places] = np.where(known, bound, value[places])
         extend(places)
     return value[order]
 
 
 def equal_windows(raw: np.ndarray, is_window: np.ndarray, width: int) -> list[np.ndarray]:
     """``(place, class)`` of the windows, in order of the suffix array; equal strings of ``width`` bytes share a class."""
-    order, _ = suffix_array(raw, width)
-    lcp = common_prefixes(raw, order, width)
+    order, rank = suffix_array(raw, width)
+    lcp = common_prefixes(raw, order, rank, width)
     number = np.cumsum(lcp < width)
     chosen = is_window[order]
     return [order[chosen], number[chosen]]
@@ -278,37 +284,33 @@ def _answers(rows: list, keys: int) -> np.ndarray:
     return out
 
 
-def _windows(runs: Runs, chosen: np.ndarray, body: np.ndarray, order_key: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Place, fingerprint and document of one window of each class and document order, for all windows of the chosen runs.
+def _window_prints(first: np.ndarray, last: np.ndarray, body: np.ndarray, width: int) -> np.ndarray:
+    """A fingerprint for each window of the runs, which come in order of place; equal windows have equal ones.
 
-    Returns all windows; equal ones have equal fingerprints, which the suffix
-    array's first member of each class gives.
+    Runs that follow each other are one region of text. A suffix array over
+    the regions groups equal windows; the group's first member is hashed.
     """
-    first, last, doc = runs.first[chosen], runs.last[chosen], runs.doc[chosen]
-    places, prints, docs = [], [], []
-    sizes = last - first + width
-    at = 0
-    while at < len(first):
-        n = max(1, int(np.searchsorted(np.cumsum(sizes[at:]), ARRAY_BYTES)))
-        f, la, s = first[at : at + n], last[at : at + n], sizes[at : at + n]
-        offset = np.cumsum(s) - s
-        inside = np.arange(int(s.sum())) - np.repeat(offset, s)
-        place = np.repeat(f, s) + inside
-        raw = body[place]
-        is_window = inside <= np.repeat(la - f, s)
+    sizes = last - first + 1
+    out = np.empty(int(sizes.sum()), _U)
+    new = np.concatenate(([True], first[1:] != last[:-1] + 1)) if len(first) else np.empty(0, bool)
+    start = first[new]
+    n_windows = np.add.reduceat(sizes, np.flatnonzero(new)) if len(first) else np.empty(0, np.int64)
+    at, done = 0, 0
+    while at < len(start):
+        n = max(1, int(np.searchsorted(np.cumsum(n_windows[at:] + width - 1), ARRAY_BYTES)))
+        f, w = start[at : at + n], n_windows[at : at + n]
+        spread = w + width - 1
+        inside = np.arange(int(spread.sum())) - np.repeat(np.cumsum(spread) - spread, spread)
+        raw = body[np.repeat(f, spread) + inside]
+        is_window = inside < np.repeat(w, spread)
         local, number = equal_windows(raw, is_window, width)
-        spot = place[local]
         head = np.concatenate(([True], number[1:] != number[:-1]))
-        h = kmer_hashes(raw)
         one = local[head]
-        fp = _combine(h, one, one + KMER, one + width - KMER)[np.cumsum(head) - 1]
-        places.append(spot)
-        prints.append(fp)
-        docs.append(order_key[np.repeat(doc[at : at + n], s)[local]])
+        h = kmer_hashes(raw)
+        out[done + np.cumsum(is_window)[local] - 1] = _combine(h, one, one + KMER, one + width - KMER)[np.cumsum(head) - 1]
+        done += int(w.sum())
         at += n
-    if not places:
-        return np.empty(0, np.int64), np.empty(0, _U), np.empty(0, np.int64)
-    return np.concatenate(places), np.concatenate(prints), np.concatenate(docs)
+    return out
 
 
 def _mark(covered: np.ndarray, first: np.ndarray, end: np.ndarray) -> None:
@@ -330,7 +332,7 @@ def repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """
     if not 2 * KMER + 1 <= width <= 3 * KMER:
         raise ValueError(f"width must be from {2 * KMER + 1} to {3 * KMER}")
-    packed = common.pack(docs, "suffix-shards")
+    packed = common.pack(docs, "suffix-shards", SHARD_BYTES)
     total = packed.agg(F.sum(F.length("docs"))).first()[0] or 0
     buckets = max(1, round(total * 2.5 / (14 * BUCKET_KEYS)), min(8, total >> 20))
 
@@ -352,11 +354,33 @@ def repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 settled = ~mixed & ((code[x.of_run] == 1) | (x.least[x.of_run] < order_key[runs.doc]))
                 covered = np.zeros(len(body), bool)
                 _mark(covered, runs.first[settled], runs.last[settled] + width)
-                place, print_, doc = _windows(runs, np.flatnonzero(mixed), body, order_key, width)
-                keys, number = np.unique(print_, return_inverse=True)
+                # Of runs with one anchor and the same bytes, the least document's first stands for all.
+                chosen = np.flatnonzero(mixed)
+                alike = (x.of_run[chosen].astype(_U) << _U(32)) | runs.content[chosen].astype(_U)
+                doc = order_key[runs.doc[chosen]]
+                by = np.lexsort((runs.first[chosen], doc, alike))
+                chosen, alike, doc = chosen[by], alike[by], doc[by]
+                head = np.concatenate(([True], alike[1:] != alike[:-1])) if len(alike) else np.empty(0, bool)
+                group = np.cumsum(head) - 1
+                later = doc > doc[head][group]
+                _mark(covered, runs.first[chosen[later]], runs.last[chosen[later]] + width)
+                rep = chosen[head]
+                place_order = np.argsort(runs.first[rep])
+                rep = rep[place_order]
+                sizes = runs.last[rep] - runs.first[rep] + 1
+                prints = _window_prints(runs.first[rep], runs.last[rep], body, width)
+                keys, of_window = np.unique(prints, return_inverse=True)
                 least = np.full(len(keys), _LAST)
-                np.minimum.at(least, number, doc)
-                later = doc > least[number]
+                np.minimum.at(least, of_window, np.repeat(order_key[runs.doc[rep]], sizes))
+                # The windows of the representatives and of their repeats in the same document.
+                slot = np.empty(len(rep), np.int64)
+                slot[place_order] = np.cumsum(sizes) - sizes
+                same, at = chosen[~later], slot[group[~later]]
+                sizes = runs.last[same] - runs.first[same] + 1
+                step = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                place = np.repeat(runs.first[same], sizes) + step
+                number = of_window[np.repeat(at, sizes) + step]
+                later = np.repeat(order_key[runs.doc[same]], sizes) > least[number]
                 _mark(covered, place[later], place[later] + width)
                 open_ = ~later
                 yield common.table(_ROWS, shard=[shard], bucket=[-1], blob=[common.squeeze(np.packbits(covered), number[open_].astype(np.uint32), place[open_].astype(np.uint32), np.array([len(keys)]))])
