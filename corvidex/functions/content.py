@@ -50,9 +50,7 @@ def size_mb(length: Column) -> Column:
     return F.round(length.cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)"), 2).cast("double")
 
 
-@F.pandas_udf("string")
-def detect_encoding(sample: pd.Series) -> pd.Series:
-    """The likeliest encoding of each sample, or null; a Python function because no built-in one tells encodings apart."""
+def _encodings(sample: pd.Series) -> pd.Series:
     try:
         from charset_normalizer import from_bytes
 
@@ -80,3 +78,8 @@ def detect_encoding(sample: pd.Series) -> pd.Series:
         return guess(b)
 
     return sample.map(one)
+
+
+def detect_encoding(sample) -> Column:
+    """The likeliest encoding of each sample, or null; a Python function because no built-in one tells encodings apart."""
+    return F.pandas_udf(_encodings, "string")(sample)

@@ -6,11 +6,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from .. import schemas
 
-SCHEMA = StructType.fromDDL(schemas.MANIFEST)
+SCHEMA = schemas.MANIFEST
 COLUMNS = tuple(f.name for f in SCHEMA)
 
 #: Columns that a stage owns: it overwrites these and leaves the others.
