@@ -1,19 +1,24 @@
-"""Language-model scores from a probabilistic suffix tree over the bytes of words.
-
-A text is its words and an end; a word is its bytes and a blank.  The tree's
-contexts are the bytes before a symbol, back to the blank before the word and
-``depth`` bytes at most.  A context is a state if it is frequent enough and its
-next symbols diverge from its parent's by a likelihood-ratio test; a state's
-distribution is smoothed with its parent's.  Scoring reads each symbol under the
-longest suffix that is a state: the tree becomes an automaton, so a symbol costs
-one step.  At a word's start the words themselves are symbols too: their counts
-are smoothed with the spelled probability, so a known word costs what its
-frequency says and an unknown one what its spelling says; all words and the end
-together have probability one.
-
-Words are counted across shards by sorted lists of distinct words, so the
-network carries each word once per shard, whatever its frequency; spelled
-probabilities are computed once per distinct word of the corpus.
+"""Language-model scores from a probabilistic suffix tree.
+
+A text is its words and an end.  The tree has two kinds of contexts:
+
+*   Before a word: the two words before it.  A context is a state if what
+    follows it is less uncertain than words are at large, by a test on its
+    gain in entropy; its next-word distribution is smoothed with the root's
+    by the number of different words that follow.  Otherwise the root's counts
+    speak, smoothed with the spelled probability.
+*   Within a spelled word: the bytes before a symbol, back to the blank before
+    the word and ``depth`` bytes at most.  A context is a state if it is
+    frequent enough and its next symbols diverge from its parent's by a
+    likelihood-ratio test; its distribution is smoothed with its parent's.
+
+Scoring reads each symbol under the longest suffix that is a state; for bytes
+the tree becomes an automaton, so a symbol costs one step.  Every distribution
+sums to one.
+
+Words and word contexts are counted across shards by sorted lists of distinct
+entries, so the network carries an entry once per shard whatever its frequency,
+and spelled probabilities are computed once per distinct word of the corpus.
 """
 
 from __future__ import annotations
@@ -32,6 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
+from .shingles import mix
+from .suffix_dedup import _answers, _list_rows
 
 DEPTH = 5
 #: A state's share of all training symbols is at least this, which bounds the states of a depth by its inverse.
@@ -40,6 +47,13 @@ LEAST_SHARE = 5e-5
 DIVERGENCE = 3.0
 #: Weight of the parent's distribution, in symbols.
 SMOOTHING = 2.0
+#: Nats of entropy that a word context must gain for each different word after it.
+WORD_GAIN = 2.0
+#: Weight of the root's distribution in a word context, for each different word after it.
+WORD_SMOOTHING = 3.0
+#: Text bytes in a shard; its arrays take about 20 times as much.
+SHARD_BYTES = 12 << 20
+CONTEXTS_A_BUCKET = 1_500_000
 
 BLANK, END = 0x20, 0x0A  #: bytes that no word has: before and after a word; the text's end
 _U = np.uint64
@@ -61,21 +75,59 @@ def held_out(doc_id: int | None) -> bool:
 # --- words ------------------------------------------------------------------
 
 
-def _vocabulary(texts: list[bytes], train: list[bool], buckets: int) -> list[tuple[list[bytes], list[int]]]:
-    """The distinct words of a shard with their training counts, by bucket and in order; the end is the empty word."""
-    counts: dict[bytes, int] = defaultdict(int)
-    counts[b""] = sum(train)
-    for text, trains in zip(texts, train, strict=True):
-        if trains:
-            for w in tokens(text):
-                counts[w] += 1
-        else:
-            for w in set(tokens(text)):
-                counts[w] += 0
-    split: list[list[bytes]] = [[] for _ in range(buckets)]
-    for w in counts:
-        split[xxhash.xxh3_64_intdigest(w) % buckets].append(w)
-    return [(sorted(ws), [counts[w] for w in sorted(ws)]) for ws in split]
+_START = (0x51ED270B5F3A9C17, 0x2F8B1D4E6A7C9035)  #: stand for the words before a text
+_NEXT_BITS = 20
+
+
+class _Shard:
+    """The words of a shard as numbers, an end after each text; 0 is the end."""
+
+    def __init__(self, blob: bytes):
+        ids, known, lens, text = common.unpack_texts(blob)
+        self.numbers = [int(i) if k else None for i, k in zip(ids, known, strict=True)]
+        self.train = np.array([not held_out(i) for i in self.numbers], bool)
+        index: dict[bytes, int] = {b"": 0}
+        parts, at = [], 0
+        for n in lens.tolist():
+            ws = tokens(text[at : at + n])
+            at += n
+            for w in set(ws).difference(index):
+                index[w] = len(index)
+            parts.append(np.fromiter(map(index.__getitem__, ws), np.int32, len(ws)))
+            parts.append(np.zeros(1, np.int32))
+        self.words = list(index)
+        self.tokens = np.concatenate(parts) if parts else np.empty(0, np.int32)
+        self.ends = np.flatnonzero(self.tokens == 0)
+        self.starts = np.concatenate(([0], self.ends[:-1] + 1)) if len(self.ends) else np.empty(0, np.int64)
+        self.trains = np.repeat(self.train, self.ends - self.starts + 1)
+        self.hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.words), _U, len(self.words))
+
+    def by_bucket(self, buckets: int) -> list[tuple[list[bytes], np.ndarray]]:
+        """Words in order and their numbers, by bucket."""
+        split: list[list[int]] = [[] for _ in range(buckets)]
+        for k, b in enumerate((self.hashes % _U(buckets)).tolist()):
+            split[b].append(k)
+        out = []
+        for numbers in split:
+            numbers.sort(key=self.words.__getitem__)
+            out.append(([self.words[k] for k in numbers], np.array(numbers, np.int64)))
+        return out
+
+    def counts(self) -> np.ndarray:
+        return np.bincount(self.tokens[self.trains], minlength=len(self.words))
+
+    def contexts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct pairs of a context and the word after it, sorted, their training counts, and the pair of each token."""
+        h = self.hashes[self.tokens]
+        one, two = np.empty_like(h), np.empty_like(h)
+        one[1:], two[2:] = h[:-1], h[:-2]
+        one[self.starts] = two[self.starts] = _U(_START[0])
+        second = self.starts[self.starts < self.ends] + 1
+        two[second] = _U(_START[1])
+        low = _U((1 << _NEXT_BITS) - 1)
+        key = (mix(one * _U(0xC2B2AE3D27D4EB4F) + two) & ~low) | (h & low)
+        keys, pair = np.unique(key, return_inverse=True)
+        return keys, np.bincount(pair[self.trains], minlength=len(keys)).astype(np.uint32), pair
 
 
 def _words_blob(words: list[bytes], *columns: np.ndarray) -> bytes:
@@ -133,7 +185,8 @@ def _merge_words(depth: int):
         for shard, own in zip(pdf["shard"], lists, strict=True):
             rows.append((shard, bucket, common.squeeze(np.fromiter(map(number.__getitem__, own), np.uint32, len(own)))))
         known = counts > 0
-        rows.append((-3, bucket, common.squeeze(np.array([counts.sum(), known.sum(), total.get(b"", 0)], np.int64))))
+        spread = (counts[known] * np.log(counts[known])).sum()
+        rows.append((-3, bucket, common.squeeze(np.array([counts.sum(), known.sum(), total.get(b"", 0)], np.int64), np.array([spread]))))
         return pd.DataFrame(rows, columns=["shard", "bucket", "blob"])
 
     return run
@@ -257,33 +310,35 @@ def score(docs: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE,
     Rows whose ``crc32`` of the number as text leaves 2 modulo 7 are held out;
     the others train, all of them. Null texts are empty and have an end only;
     a null ``doc_id`` trains. Repeated rows count each time. If nothing trains,
-    the tree is its root and probabilities are even. Other columns aren't read.
+    the tree is its root and symbols are equally likely. Other columns aren't read.
     """
-    packed = common.pack(docs, "lm-shards")
+    packed = common.pack(docs, "lm-shards", SHARD_BYTES)
     size = packed.agg(F.sum(F.length("docs"))).first()[0] or 0
     buckets = max(1, round(size * 2.5 / 40 / WORDS_A_BUCKET), min(8, size >> 20))
-
-    def opened(blob: bytes) -> tuple[list[bytes], list[int | None], list[bool]]:
-        ids, known, lens, text = common.unpack_texts(blob)
-        ends = np.cumsum(lens)
-        texts = [text[e - n : e] for e, n in zip(ends.tolist(), lens.tolist(), strict=True)]
-        numbers = [int(i) if k else None for i, k in zip(ids, known, strict=True)]
-        return texts, numbers, [not held_out(i) for i in numbers]
+    context_buckets = max(1, round(size * 2.5 / 6 / CONTEXTS_A_BUCKET), min(8, size >> 20))
 
     def list_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                texts, _, train = opened(blob)
-                lists = _vocabulary(texts, train, buckets)
-                some = [b for b in range(buckets) if lists[b][0]]
-                yield common.table(_ROWS, shard=[shard] * len(some), bucket=some, blob=[_words_blob(lists[b][0], np.array(lists[b][1], np.uint32)) for b in some])
+                own = _Shard(blob)
+                counts = own.counts()
+                for b, (words, numbers) in enumerate(own.by_bucket(buckets)):
+                    if words:
+                        yield common.table(_ROWS, shard=[shard], bucket=[b], blob=[_words_blob(words, counts[numbers].astype(np.uint32))])
+
+    def list_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                keys, counts, _ = _Shard(blob).contexts()
+                yield from _list_rows(shard, context_buckets, keys, counts)
 
     merged = common.materialize(packed.mapInArrow(list_words, _ROWS_SQL).groupBy("bucket").applyInPandas(_merge_words(depth), _ROWS_SQL), "lm-words")
 
-    n_tokens, n_types, n_ends = (0, 0, 0)
+    n_tokens, n_types, n_ends, spread = 0, 0, 0, 0.0
     for row in merged.where("shard = -3").select("blob").toLocalIterator():
-        a, b, c = common.expand(bytes(row.blob))[0].tolist()
-        n_tokens, n_types, n_ends = n_tokens + a, n_types + b, n_ends + c
+        (a, b, c), (d,) = (x.tolist() for x in common.expand(bytes(row.blob)))
+        n_tokens, n_types, n_ends, spread = n_tokens + a, n_types + b, n_ends + c, spread + d
+    entropy = math.log(n_tokens) - spread / n_tokens if n_tokens else 0.0
 
     def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -299,15 +354,13 @@ def score(docs: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE,
     automaton = docs.sparkSession.sparkContext.broadcast(grow(counts, least_share, divergence, smoothing))
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
-        blobs = {-1: None}
-        for shard, blob in zip(pdf["shard"], pdf["blob"], strict=True):
-            blobs[shard] = blob
+        blobs = dict(zip(pdf["shard"], pdf["blob"], strict=True))
         words, (count,) = _words_of(blobs.pop(-1))
         a = automaton.value
         spelled = a.score(words)
         if words and words[0] == b"":
             spelled[0] = a.cost[a.start, END]
-        # The root's distribution over words, smoothed with the tree's spelling (Witten-Bell: as much weight as types).
+        # The root's distribution over words, smoothed with the spelling (Witten-Bell: as much weight as types).
         spelled = np.log10((count + n_types * 10.0**spelled) / (n_tokens + n_types)) if n_tokens else spelled
         rows = []
         for shard, blob in blobs.items():
@@ -315,35 +368,65 @@ def score(docs: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE,
             rows.append((shard, int(pdf["bucket"].iloc[0]), common.squeeze(count[number], spelled[number].astype(np.float32))))
         return pd.DataFrame(rows, columns=["shard", "bucket", "blob"])
 
-    answers = merged.where("shard >= -1").groupBy("bucket").applyInPandas(answer, _ROWS_SQL)
-    by_shard = answers.groupBy("shard").agg(F.collect_list(F.struct("bucket", "blob")).alias("rows"))
+    def answer_contexts(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"shard": pdf["shard"], "bucket": pdf["bucket"], "blob": [common.squeeze(x) for x in merge_contexts([tuple(common.expand(b)) for b in pdf["blob"]], entropy)]})
+
+    answers = merged.where("shard >= -1").groupBy("bucket").applyInPandas(answer, _ROWS_SQL).withColumn("kind", F.lit("w"))
+    contexts = packed.mapInArrow(list_contexts, _ROWS_SQL).groupBy("bucket").applyInPandas(answer_contexts, _ROWS_SQL).withColumn("kind", F.lit("c"))
+    by_shard = answers.unionByName(contexts).groupBy("shard").agg(F.collect_list(F.struct("kind", "bucket", "blob")).alias("rows"))
     floor = math.log10(n_tokens + n_types + 1)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for blob, rows in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                texts, ids, train = opened(blob)
-                lists = _vocabulary(texts, train, buckets)
-                number: dict[bytes, int] = {}
-                counts, spelled = [], []
-                for r in sorted(rows, key=lambda r: r["bucket"]):
-                    c, lp = common.expand(r["blob"])
-                    for w in lists[r["bucket"]][0]:
-                        number[w] = len(number)
-                    counts.append(c)
-                    spelled.append(lp)
-                count, lp = np.concatenate(counts), np.concatenate(spelled).astype(np.float64)
-                base = np.log10(count + 1.0) - floor
-                out: dict[str, list] = {k: [] for k in ("n_tokens", "n_known", "base_score", "score")}
-                end = number[b""]
-                for text in texts:
-                    ws = tokens(text)
-                    at = np.fromiter(map(number.__getitem__, ws), np.int64, len(ws))
-                    at = np.append(at, end)
-                    out["n_tokens"].append(len(at))
-                    out["n_known"].append(int((count[at] > 0).sum()))
-                    out["base_score"].append(float(base[at].sum()))
-                    out["score"].append(float(lp[at].sum()))
-                yield pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "held_out": pa.array([not t for t in train]), "n_tokens": pa.array(out["n_tokens"], pa.int64()), "n_known": pa.array(out["n_known"], pa.int64()), "train_tokens": pa.array([n_tokens] * len(ids), pa.int64()), "base_score": pa.array(out["base_score"], pa.float64()), "score": pa.array(out["score"], pa.float64())})
+                own = _Shard(blob)
+                split = own.by_bucket(buckets)
+                count, lp = np.zeros(len(own.words), np.int64), np.zeros(len(own.words))
+                for r in rows:
+                    if r["kind"] == "w":
+                        numbers = split[r["bucket"]][1]
+                        count[numbers], lp[numbers] = common.expand(r["blob"])
+                del split
+                packed_counts = _answers([r for r in rows if r["kind"] == "c"], -1)
+                keys, _, pair = own.contexts()
+                if len(packed_counts) != len(keys):
+                    raise RuntimeError("an answer is missing")
+                c, n, types = ((packed_counts >> _U(k)) & _U((1 << w) - 1) for k, w in ((40, 24), (16, 24), (0, 16)))
+                root = 10.0 ** lp[own.tokens]
+                weight = WORD_SMOOTHING * types[pair]
+                with np.errstate(invalid="ignore", divide="ignore"):
+                    word = np.where(n[pair] > 0, (c[pair] + weight * root) / (n[pair] + weight), root)
+                sums = lambda x: np.add.reduceat(x, own.starts) if len(own.starts) else np.empty(0)
+                yield pa.RecordBatch.from_pydict({
+                    "doc_id": pa.array(own.numbers, pa.int64()), "held_out": pa.array(~own.train), "n_tokens": pa.array(own.ends - own.starts + 1, pa.int64()),
+                    "n_known": pa.array(sums((count[own.tokens] > 0).astype(np.int64)), pa.int64()), "train_tokens": pa.array([n_tokens] * len(own.numbers), pa.int64()),
+                    "base_score": pa.array(sums((np.log10(count + 1.0) - floor)[own.tokens]), pa.float64()), "score": pa.array(sums(np.log10(word)), pa.float64()),
+                })
 
     return packed.join(by_shard, "shard").select("docs", "rows").mapInArrow(add_up, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+
+
+def merge_contexts(lists: list[tuple[np.ndarray, np.ndarray]], entropy: float) -> list[np.ndarray]:
+    """For each list of pairs: the pair's count, its context's and the number of different words after it, in one number; 0 if the context is no state.
+
+    Counts share out 64 bits as 24, 24 and 16; a context with more is scaled
+    down to fit, so its shares stay.
+    """
+    keys = np.unique(np.concatenate([x[0] for x in lists]))
+    places = [np.searchsorted(keys, x[0]) for x in lists]
+    count = np.zeros(len(keys), np.int64)
+    for at, (_, c) in zip(places, lists, strict=True):
+        count[at] += c
+    context = keys >> _U(_NEXT_BITS)
+    head = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1])))
+    of = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(keys))))
+    n, types = np.add.reduceat(count, head), np.add.reduceat((count > 0).astype(np.int64), head)
+    own = np.add.reduceat(np.where(count > 0, count * np.log(np.maximum(count, 1)), 0.0), head)
+    gain = n * entropy - (n * np.log(np.maximum(n, 1)) - own)
+    state = (n > 0) & (gain >= WORD_GAIN * types)
+    scale = np.maximum(1.0, np.maximum(n / ((1 << 24) - 1), types / ((1 << 16) - 1)))
+    fit = lambda x, g: np.floor(x / scale[g]).astype(_U)
+    whole = np.arange(len(head))
+    out = (fit(count, of) << _U(40)) | (fit(n, whole)[of] << _U(16)) | np.maximum(fit(types, whole), _U(1))[of]
+    out[~state[of]] = 0
+    return [out[at] for at in places]
