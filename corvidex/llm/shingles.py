@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 WIDTH = 5
-_WORDS_HELD = 1 << 20
+_WORDS_HELD = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
