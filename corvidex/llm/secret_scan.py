@@ -131,12 +131,14 @@ def redact(docs: DataFrame, ledger: DataFrame | None = None, mark: str = "[SECRE
             F.struct(F.when(acc["start"] >= 0, F.concat(acc["done"], F.array(span(acc["start"], acc["end"])))).otherwise(acc["done"]).alias("done"), s["start"].alias("start"), s["end"].alias("end"))),
         lambda acc: F.concat(acc["done"], F.array(span(acc["start"], acc["end"]))),
     )
-    hits = book.where(F.size("findings") > 0).dropDuplicates(["blob"]).select(F.col("blob").alias("__blob"), merged.alias("__spans"))
-    spans = F.col("__spans")
-    starts = F.concat(F.array(F.lit(0).cast("long")), F.transform(spans, lambda s: s["end"]))
-    ends = F.concat(F.transform(spans, lambda s: s["start"]), F.array(F.length("text").cast("long")))
-    pieces = F.zip_with(starts, ends, lambda a, b: F.substring(F.col("text"), (a + 1).cast("int"), (b - a).cast("int")))
-    joined = docs.withColumn("__blob", blob()).join(hits, "__blob", "left").withColumn("text", F.when(spans.isNotNull(), F.array_join(pieces, mark)).otherwise(F.col("text")))
+    hits = book.where(F.size("findings") > 0).dropDuplicates(["blob"]).select(F.col("blob").alias("__blob"), merged.alias("spans"))
+    # What stays: from the end of a span to the start of the next. Written first, so that the stage with the texts only cuts.
+    none = F.lit(None).cast("long")
+    bounds = hits.select("__blob", F.concat(F.array(F.lit(0).cast("long")), F.col("spans.end")).alias("__from"), F.concat(F.col("spans.start"), F.array(none)).alias("__to"))
+    bounds = common.materialize(bounds, "secret-bounds")
+    pieces = F.zip_with("__from", "__to", lambda a, b: F.substring(F.col("text"), (a + 1).cast("int"), F.coalesce(b - a, F.lit(2147483647).cast("long")).cast("int")))
+    found = F.col("__from").isNotNull()
+    joined = docs.withColumn("__blob", blob()).join(bounds, "__blob", "left").withColumn("text", F.when(found, F.array_join(pieces, mark)).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        joined = joined.withColumn("n_chars", F.when(spans.isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        joined = joined.withColumn("n_chars", F.when(found, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return joined.select(*docs.columns)
