@@ -207,15 +207,23 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int =
 
 
 def weigh(counts: Iterable[tuple[str, int, int]], positive: int, negative: int, most: int) -> dict[str, float]:
-    """Entries whose presence speaks for the label, with their log odds."""
+    """Entries whose presence speaks for the label, with their log odds: no entry that another one covers."""
     found = []
     for term, n1, n0 in counts:
         odds = math.log((n1 + 0.5) / (positive + 1)) - math.log((n0 + 0.5) / (negative + 1))
         # Chance alone gives rare terms high odds: ask for several rows and for high precision.
         if n1 >= 3 and n1 >= 4 * n0 and odds - 2 / math.sqrt(n1) > 1.5:
-            found.append((n1 * odds, term, odds))
+            found.append((n1 * odds, term, odds, n1))
     found.sort(reverse=True)
-    return {term: odds for _, term, odds in found[:most]}
+    rows = {term: n1 for _, term, _, n1 in found[:most]}
+    # A beginning that stands in hardly more rows than one longer entry says nothing that this doesn't say more precisely.
+    largest: dict[str, int] = defaultdict(int)
+    for term, n1 in rows.items():
+        for k in STEMS:
+            if k < len(term.rstrip("*")):
+                largest[f"{term[:k]}*"] = max(largest[f"{term[:k]}*"], n1)
+    kept = {t for t, n1 in rows.items() if largest[t] < 0.9 * n1}
+    return {term: odds for _, term, odds, _ in found[:most] if term in kept and not any(f"{term[:k]}*" in kept for k in STEMS if k < len(term.rstrip("*")))}
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = LEXICON) -> Model:
@@ -241,9 +249,6 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int =
     grouped = rows.mapInArrow(terms, "term string, n1 long, n0 long").groupBy("term").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).where("n1 >= 3 AND n1 >= 4 * n0")
     best = grouped.orderBy(F.desc("n1"), "term").limit(20 * most)
     lexicon = weigh(((r.term, r.n1, r.n0) for r in best.toLocalIterator()), positive, n - positive, most)
-    # A beginning makes the longer entries that it covers superfluous unless it is much weaker.
-    lexicon = {t: w for t, w in lexicon.items() if not any(lexicon.get(f"{t[:k]}*", 0.0) >= w - 0.5 for k in STEMS if k < len(t.rstrip("*")))}
-
     reader_of = docs.sparkSession.sparkContext.broadcast(lexicon)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
