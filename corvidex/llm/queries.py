@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate, jaccard_join, packing, quality_rules, secret_scan, sharding, substring_dedup, suffix_dedup, suffix_tree_lm, toxicity
+from .sql import SQL  # noqa: F401
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,5 +62,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_suffix_array_dedup, op2_substring_dedup, op3_ngram_jaccard_join, op4_sharding, op5_suffix_tree_lm, op6_secret_scan, op7_decontaminate, op8_best_fit_packing, op9_toxicity, op10_quality_rules)
 }
-
-SQL: dict[str, str] = {"op4_sharding": "SELECT doc_id, lang, source, n_chars, sha256(text) AS text_sha256 FROM documents"}
