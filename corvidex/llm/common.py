@@ -8,6 +8,8 @@ a scan, small enough for a task's memory whatever the size of the corpus.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import itertools
 import tempfile
 import uuid
@@ -36,14 +38,29 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back; the files go when the session ends."""
+    """Write ``df`` to the shared folder and read it back; the files go when the session ends, or by ``discard``."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/corvidex/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    jvm = spark.sparkContext._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found._written_to = path
+    return found
+
+
+def discard(*written: DataFrame) -> None:
+    """Delete tables of ``materialize`` that nothing will read again."""
+    for df in written:
+        spark = df.sparkSession
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._written_to)
+        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Have the driver collect its garbage: Spark deletes shuffle files once no frame refers to them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def arrow_batches(spark: SparkSession) -> None:
@@ -56,6 +73,24 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return [x or b"" for x in batch.column(batch.schema.get_field_index(column)).cast(pa.large_binary()).to_pylist()]
 
 
+def tidy() -> None:
+    """Give freed memory back to the system, which a worker that stays for the next task otherwise keeps."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def each_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The rows of shards one by one, with memory given back in between."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield tuple(c[k].as_py() for c in batch.columns)
+            tidy()
+
+
 # --- numpy arrays as bytes -------------------------------------------------
 
 

@@ -42,7 +42,7 @@ ARRAY_BYTES = 2 << 20
 #: Text bytes in a shard; its arrays take about 20 times as much.
 SHARD_BYTES = 16 << 20
 #: Anchors or windows in a bucket, on average.
-BUCKET_KEYS = 1_500_000
+BUCKET_KEYS = 750_000
 
 _U = np.uint64
 _POS_BITS = 20
@@ -228,6 +228,7 @@ def merge_lists(lists: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
 
 
 def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
+    common.tidy()
     codes = merge_lists([tuple(common.expand(b)) for b in pdf["blob"]])
     return pd.DataFrame({"shard": pdf["shard"], "bucket": pdf["bucket"], "blob": [common.squeeze(c) for c in codes]})
 
@@ -321,107 +322,109 @@ def _mark(covered: np.ndarray, first: np.ndarray, end: np.ndarray) -> None:
     covered |= np.cumsum(edge[:-1]) > 0
 
 
-def repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+def repeats(docs: DataFrame, width: int = WIDTH, shard_bytes: int = SHARD_BYTES, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
     """``doc_id, n_bytes, spans, kept`` for every row of ``docs(doc_id, text)``.
 
     ``spans`` are the maximal removed runs as byte offsets ``(start, end)`` of
     the UTF-8 text, ``kept`` the bytes that are left. Null texts are empty.
     Strings never cross documents and are judged on the input. Rows with equal
     ``doc_id`` don't remove from each other; a row with a null ``doc_id`` counts
-    as later than all others. Other columns aren't read. ``width`` may be
-    49 or more up to twice the k-mer plus 26.
+    as later than all others. Other columns aren't read. ``width`` may be from
+    49 to 72. ``shard_bytes`` and ``bucket_keys`` bound a task's memory; with
+    larger executors raise both, so that lists stay long at any scale.
     """
     if not 2 * KMER + 1 <= width <= 3 * KMER:
         raise ValueError(f"width must be from {2 * KMER + 1} to {3 * KMER}")
-    packed = common.pack(docs, "suffix-shards", SHARD_BYTES)
+    packed = common.pack(docs, "suffix-shards", shard_bytes)
     total = packed.agg(F.sum(F.length("docs"))).first()[0] or 0
-    buckets = max(1, round(total * 2.5 / (14 * BUCKET_KEYS)), min(8, total >> 20))
+    buckets = max(1, round(total * 2.5 / (14 * bucket_keys)), min(8, total >> 20))
 
     def list_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for shard, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                _, _, lens, body, order_key = _open(blob)
-                x = _Anchors(Runs(body, lens, width), order_key)
-                yield from _list_rows(shard, buckets, x.key, x.content, x.mixed, x.least)
+        for shard, blob in common.each_shard(batches):
+            _, _, lens, body, order_key = _open(blob)
+            x = _Anchors(Runs(body, lens, width), order_key)
+            yield from _list_rows(shard, buckets, x.key, x.content, x.mixed, x.least)
 
     def list_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for shard, blob, rows in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                _, _, lens, body, order_key = _open(blob)
-                runs = Runs(body, lens, width)
-                x = _Anchors(runs, order_key)
-                code = _answers(rows or [], len(x.key))
-                mixed = code[x.of_run] >= 2
-                settled = ~mixed & ((code[x.of_run] == 1) | (x.least[x.of_run] < order_key[runs.doc]))
-                covered = np.zeros(len(body), bool)
-                _mark(covered, runs.first[settled], runs.last[settled] + width)
-                # Of runs with one anchor and the same bytes, the least document's first stands for all.
-                chosen = np.flatnonzero(mixed)
-                alike = (x.of_run[chosen].astype(_U) << _U(32)) | runs.content[chosen].astype(_U)
-                doc = order_key[runs.doc[chosen]]
-                by = np.lexsort((runs.first[chosen], doc, alike))
-                chosen, alike, doc = chosen[by], alike[by], doc[by]
-                head = np.concatenate(([True], alike[1:] != alike[:-1])) if len(alike) else np.empty(0, bool)
-                group = np.cumsum(head) - 1
-                later = doc > doc[head][group]
-                _mark(covered, runs.first[chosen[later]], runs.last[chosen[later]] + width)
-                rep = chosen[head]
-                place_order = np.argsort(runs.first[rep])
-                rep = rep[place_order]
-                sizes = runs.last[rep] - runs.first[rep] + 1
-                prints = _window_prints(runs.first[rep], runs.last[rep], body, width)
-                keys, of_window = np.unique(prints, return_inverse=True)
-                least = np.full(len(keys), _LAST)
-                np.minimum.at(least, of_window, np.repeat(order_key[runs.doc[rep]], sizes))
-                # The windows of the representatives and of their repeats in the same document.
-                slot = np.empty(len(rep), np.int64)
-                slot[place_order] = np.cumsum(sizes) - sizes
-                same, at = chosen[~later], slot[group[~later]]
-                sizes = runs.last[same] - runs.first[same] + 1
-                step = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                place = np.repeat(runs.first[same], sizes) + step
-                number = of_window[np.repeat(at, sizes) + step]
-                later = np.repeat(order_key[runs.doc[same]], sizes) > least[number]
-                _mark(covered, place[later], place[later] + width)
-                open_ = ~later
-                yield common.table(_ROWS, shard=[shard], bucket=[-1], blob=[common.squeeze(np.packbits(covered), number[open_].astype(np.uint32), place[open_].astype(np.uint32), np.array([len(keys)]))])
-                yield from _list_rows(shard, buckets, keys, np.zeros(len(keys), np.uint32), np.zeros(len(keys), np.uint8), least)
+        for shard, blob, rows in common.each_shard(batches):
+            _, _, lens, body, order_key = _open(blob)
+            runs = Runs(body, lens, width)
+            x = _Anchors(runs, order_key)
+            code = _answers(rows or [], len(x.key))
+            mixed = code[x.of_run] >= 2
+            settled = ~mixed & ((code[x.of_run] == 1) | (x.least[x.of_run] < order_key[runs.doc]))
+            covered = np.zeros(len(body), bool)
+            _mark(covered, runs.first[settled], runs.last[settled] + width)
+            # Of runs with one anchor and the same bytes, the least document's first stands for all.
+            chosen = np.flatnonzero(mixed)
+            alike = (x.of_run[chosen].astype(_U) << _U(32)) | runs.content[chosen].astype(_U)
+            doc = order_key[runs.doc[chosen]]
+            by = np.lexsort((runs.first[chosen], doc, alike))
+            chosen, alike, doc = chosen[by], alike[by], doc[by]
+            head = np.concatenate(([True], alike[1:] != alike[:-1])) if len(alike) else np.empty(0, bool)
+            group = np.cumsum(head) - 1
+            later = doc > doc[head][group]
+            _mark(covered, runs.first[chosen[later]], runs.last[chosen[later]] + width)
+            rep = chosen[head]
+            place_order = np.argsort(runs.first[rep])
+            rep = rep[place_order]
+            sizes = runs.last[rep] - runs.first[rep] + 1
+            prints = _window_prints(runs.first[rep], runs.last[rep], body, width)
+            keys, of_window = np.unique(prints, return_inverse=True)
+            least = np.full(len(keys), _LAST)
+            np.minimum.at(least, of_window, np.repeat(order_key[runs.doc[rep]], sizes))
+            # The windows of the representatives and of their repeats in the same document.
+            slot = np.empty(len(rep), np.int64)
+            slot[place_order] = np.cumsum(sizes) - sizes
+            same, at = chosen[~later], slot[group[~later]]
+            sizes = runs.last[same] - runs.first[same] + 1
+            step = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            place = np.repeat(runs.first[same], sizes) + step
+            number = of_window[np.repeat(at, sizes) + step]
+            later = np.repeat(order_key[runs.doc[same]], sizes) > least[number]
+            _mark(covered, place[later], place[later] + width)
+            open_ = ~later
+            yield common.table(_ROWS, shard=[shard], bucket=[-1], blob=[common.squeeze(np.packbits(covered), number[open_].astype(np.uint32), place[open_].astype(np.uint32), np.array([len(keys)]))])
+            yield from _list_rows(shard, buckets, keys, np.zeros(len(keys), np.uint32), np.zeros(len(keys), np.uint8), least)
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        for batch in batches:
-            for blob, rows in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids, known, lens, body, _ = _open(blob)
-                state = next(r for r in rows if r["bucket"] < 0)
-                bits, number, place, n_keys = common.expand(state["blob"])
-                covered = np.unpackbits(bits, count=len(body)).astype(bool)
-                code = _answers(rows, int(n_keys[0]))
-                hit = place[code[number] & 1 > 0].astype(np.int64)
-                _mark(covered, hit, hit + width)
-                ends = np.cumsum(lens)
-                for a in range(0, len(ids), 500):
-                    spans, kept = [], []
-                    for k in range(a, min(a + 500, len(ids))):
-                        gone = covered[ends[k] - lens[k] : ends[k]]
-                        text = body[ends[k] - lens[k] : ends[k]]
-                        if gone.any():
-                            edge = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False])).view(np.int8)))
-                            spans.append([{"start": int(p), "end": int(q)} for p, q in edge.reshape(-1, 2)])
-                            kept.append(text[~gone].tobytes())
-                        else:
-                            spans.append([])
-                            kept.append(text.tobytes())
-                    z = min(a + 500, len(ids))
-                    yield pa.RecordBatch.from_pydict({"doc_id": pa.array(ids[a:z], mask=~known[a:z]), "n_bytes": pa.array(lens[a:z]), "spans": pa.array(spans, span), "kept": pa.array(kept, pa.binary())})
+        for blob, rows in common.each_shard(batches):
+            ids, known, lens, body, _ = _open(blob)
+            state = next(r for r in rows if r["bucket"] < 0)
+            bits, number, place, n_keys = common.expand(state["blob"])
+            covered = np.unpackbits(bits, count=len(body)).astype(bool)
+            code = _answers(rows, int(n_keys[0]))
+            hit = place[code[number] & 1 > 0].astype(np.int64)
+            _mark(covered, hit, hit + width)
+            ends = np.cumsum(lens)
+            for a in range(0, len(ids), 500):
+                spans, kept = [], []
+                for k in range(a, min(a + 500, len(ids))):
+                    gone = covered[ends[k] - lens[k] : ends[k]]
+                    text = body[ends[k] - lens[k] : ends[k]]
+                    if gone.any():
+                        edge = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False])).view(np.int8)))
+                        spans.append([{"start": int(p), "end": int(q)} for p, q in edge.reshape(-1, 2)])
+                        kept.append(text[~gone].tobytes())
+                    else:
+                        spans.append([])
+                        kept.append(text.tobytes())
+                z = min(a + 500, len(ids))
+                yield pa.RecordBatch.from_pydict({"doc_id": pa.array(ids[a:z], mask=~known[a:z]), "n_bytes": pa.array(lens[a:z]), "spans": pa.array(spans, span), "kept": pa.array(kept, pa.binary())})
 
     def gathered(rows: DataFrame, *columns: str) -> DataFrame:
         by_shard = rows.groupBy("shard").agg(F.collect_list(F.struct("bucket", "blob")).alias("rows"))
         return packed.join(by_shard, "shard", "left").select(*columns, "docs", "rows")
 
-    anchors = packed.mapInArrow(list_anchors, _ROWS_SQL).groupBy("bucket").applyInPandas(_merge, _ROWS_SQL)
-    windows = common.materialize(gathered(anchors, "shard").mapInArrow(list_windows, _ROWS_SQL), "suffix-windows")
-    merged = windows.where("bucket >= 0").groupBy("bucket").applyInPandas(_merge, _ROWS_SQL)
-    return gathered(merged.unionByName(windows.where("bucket < 0"))).mapInArrow(cut_out, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    def windows() -> DataFrame:
+        anchors = packed.mapInArrow(list_anchors, _ROWS_SQL).groupBy("bucket").applyInPandas(_merge, _ROWS_SQL)
+        return common.materialize(gathered(anchors, "shard").mapInArrow(list_windows, _ROWS_SQL), "suffix-windows")
+
+    found = windows()
+    common.release(docs.sparkSession)
+    merged = found.where("bucket >= 0").groupBy("bucket").applyInPandas(_merge, _ROWS_SQL)
+    return gathered(merged.unionByName(found.where("bucket < 0"))).mapInArrow(cut_out, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
 
 
 def digest(found: DataFrame) -> DataFrame:
