@@ -53,13 +53,13 @@ WORD_GAIN = 2.0
 WORD_SMOOTHING = 3.0
 #: Text bytes in a shard; its arrays take about 20 times as much.
 SHARD_BYTES = 12 << 20
-CONTEXTS_A_BUCKET = 1_500_000
+CONTEXTS_A_BUCKET = 750_000
 
 BLANK, END = 0x20, 0x0A  #: bytes that no word has: before and after a word; the text's end
 _U = np.uint64
 _ROWS = pa.schema([("shard", pa.int64()), ("bucket", pa.int32()), ("blob", pa.binary())])
 _ROWS_SQL = "shard long, bucket int, blob binary"
-WORDS_A_BUCKET = 700_000
+WORDS_A_BUCKET = 400_000
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -170,6 +170,7 @@ def gram_counts(words: list[bytes], counts: np.ndarray, depth: int) -> tuple[np.
 
 def _merge_words(depth: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        common.tidy()
         bucket = int(pdf["bucket"].iloc[0])
         total: dict[bytes, int] = {}
         lists = []
@@ -318,19 +319,17 @@ def score(docs: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE,
     context_buckets = max(1, round(size * 2.5 / 6 / CONTEXTS_A_BUCKET), min(8, size >> 20))
 
     def list_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for shard, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = _Shard(blob)
-                counts = own.counts()
-                for b, (words, numbers) in enumerate(own.by_bucket(buckets)):
-                    if words:
-                        yield common.table(_ROWS, shard=[shard], bucket=[b], blob=[_words_blob(words, counts[numbers].astype(np.uint32))])
+        for shard, blob in common.each_shard(batches):
+            own = _Shard(blob)
+            counts = own.counts()
+            for b, (words, numbers) in enumerate(own.by_bucket(buckets)):
+                if words:
+                    yield common.table(_ROWS, shard=[shard], bucket=[b], blob=[_words_blob(words, counts[numbers].astype(np.uint32))])
 
     def list_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for shard, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                keys, counts, _ = _Shard(blob).contexts()
-                yield from _list_rows(shard, context_buckets, keys, counts)
+        for shard, blob in common.each_shard(batches):
+            keys, counts, _ = _Shard(blob).contexts()
+            yield from _list_rows(shard, context_buckets, keys, counts)
 
     merged = common.materialize(packed.mapInArrow(list_words, _ROWS_SQL).groupBy("bucket").applyInPandas(_merge_words(depth), _ROWS_SQL), "lm-words")
 
@@ -354,6 +353,7 @@ def score(docs: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE,
     automaton = docs.sparkSession.sparkContext.broadcast(grow(counts, least_share, divergence, smoothing))
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
+        common.tidy()
         blobs = dict(zip(pdf["shard"], pdf["blob"], strict=True))
         words, (count,) = _words_of(blobs.pop(-1))
         a = automaton.value
@@ -369,39 +369,45 @@ def score(docs: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE,
         return pd.DataFrame(rows, columns=["shard", "bucket", "blob"])
 
     def answer_contexts(pdf: pd.DataFrame) -> pd.DataFrame:
+        common.tidy()
         return pd.DataFrame({"shard": pdf["shard"], "bucket": pdf["bucket"], "blob": [common.squeeze(x) for x in merge_contexts([tuple(common.expand(b)) for b in pdf["blob"]], entropy)]})
 
-    answers = merged.where("shard >= -1").groupBy("bucket").applyInPandas(answer, _ROWS_SQL).withColumn("kind", F.lit("w"))
-    contexts = packed.mapInArrow(list_contexts, _ROWS_SQL).groupBy("bucket").applyInPandas(answer_contexts, _ROWS_SQL).withColumn("kind", F.lit("c"))
-    by_shard = answers.unionByName(contexts).groupBy("shard").agg(F.collect_list(F.struct("kind", "bucket", "blob")).alias("rows"))
+    def answered() -> DataFrame:
+        words = merged.where("shard >= -1").groupBy("bucket").applyInPandas(answer, _ROWS_SQL).withColumn("kind", F.lit("w"))
+        contexts = packed.mapInArrow(list_contexts, _ROWS_SQL).groupBy("bucket").applyInPandas(answer_contexts, _ROWS_SQL).withColumn("kind", F.lit("c"))
+        return common.materialize(words.unionByName(contexts), "lm-answers")
+
+    answers = answered()
+    common.discard(merged)
+    common.release(docs.sparkSession)
+    by_shard = answers.groupBy("shard").agg(F.collect_list(F.struct("kind", "bucket", "blob")).alias("rows"))
     floor = math.log10(n_tokens + n_types + 1)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for blob, rows in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = _Shard(blob)
-                split = own.by_bucket(buckets)
-                count, lp = np.zeros(len(own.words), np.int64), np.zeros(len(own.words))
-                for r in rows:
-                    if r["kind"] == "w":
-                        numbers = split[r["bucket"]][1]
-                        count[numbers], lp[numbers] = common.expand(r["blob"])
-                del split
-                packed_counts = _answers([r for r in rows if r["kind"] == "c"], -1)
-                keys, _, pair = own.contexts()
-                if len(packed_counts) != len(keys):
-                    raise RuntimeError("an answer is missing")
-                c, n, types = ((packed_counts >> _U(k)) & _U((1 << w) - 1) for k, w in ((40, 24), (16, 24), (0, 16)))
-                root = 10.0 ** lp[own.tokens]
-                weight = WORD_SMOOTHING * types[pair]
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    word = np.where(n[pair] > 0, (c[pair] + weight * root) / (n[pair] + weight), root)
-                sums = lambda x: np.add.reduceat(x, own.starts) if len(own.starts) else np.empty(0)
-                yield pa.RecordBatch.from_pydict({
-                    "doc_id": pa.array(own.numbers, pa.int64()), "held_out": pa.array(~own.train), "n_tokens": pa.array(own.ends - own.starts + 1, pa.int64()),
-                    "n_known": pa.array(sums((count[own.tokens] > 0).astype(np.int64)), pa.int64()), "train_tokens": pa.array([n_tokens] * len(own.numbers), pa.int64()),
-                    "base_score": pa.array(sums((np.log10(count + 1.0) - floor)[own.tokens]), pa.float64()), "score": pa.array(sums(np.log10(word)), pa.float64()),
-                })
+        for blob, rows in common.each_shard(batches):
+            own = _Shard(blob)
+            split = own.by_bucket(buckets)
+            count, lp = np.zeros(len(own.words), np.int64), np.zeros(len(own.words))
+            for r in rows:
+                if r["kind"] == "w":
+                    numbers = split[r["bucket"]][1]
+                    count[numbers], lp[numbers] = common.expand(r["blob"])
+            del split
+            packed_counts = _answers([r for r in rows if r["kind"] == "c"], -1)
+            keys, _, pair = own.contexts()
+            if len(packed_counts) != len(keys):
+                raise RuntimeError("an answer is missing")
+            c, n, types = ((packed_counts >> _U(k)) & _U((1 << w) - 1) for k, w in ((40, 24), (16, 24), (0, 16)))
+            root = 10.0 ** lp[own.tokens]
+            weight = WORD_SMOOTHING * types[pair]
+            with np.errstate(invalid="ignore", divide="ignore"):
+                word = np.where(n[pair] > 0, (c[pair] + weight * root) / (n[pair] + weight), root)
+            sums = lambda x: np.add.reduceat(x, own.starts) if len(own.starts) else np.empty(0)
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": pa.array(own.numbers, pa.int64()), "held_out": pa.array(~own.train), "n_tokens": pa.array(own.ends - own.starts + 1, pa.int64()),
+                "n_known": pa.array(sums((count[own.tokens] > 0).astype(np.int64)), pa.int64()), "train_tokens": pa.array([n_tokens] * len(own.numbers), pa.int64()),
+                "base_score": pa.array(sums((np.log10(count + 1.0) - floor)[own.tokens]), pa.float64()), "score": pa.array(sums(np.log10(word)), pa.float64()),
+            })
 
     return packed.join(by_shard, "shard").select("docs", "rows").mapInArrow(add_up, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
