@@ -33,6 +33,8 @@ DEPTH = 2
 RECALL = 0.9999
 #: Sets in a leaf that brute force takes; larger leaves split while that makes them smaller.
 LEAF = 1024
+#: Sets of a leaf that one task holds twice at most; a larger leaf is dealt into blocks, and each pair of blocks is a task.
+BLOCK_SETS = 4096
 
 
 def runs_for(threshold: float, depth: int, recall: float) -> int:
@@ -142,12 +144,13 @@ class Forest:
             self.parent[max(a, b)] = min(a, b)
 
 
-def compare(members: np.ndarray, sets: list[np.ndarray], first: list[np.ndarray], level: int, threshold: float, leaf: int, recall: float, links: np.ndarray, forest: Forest) -> None:
+def compare(members: np.ndarray, sets: list[np.ndarray], first: list[np.ndarray], level: int, threshold: float, leaf: int, recall: float, links: np.ndarray, forest: Forest, block: np.ndarray | None = None) -> None:
     """Find all links among ``members``, numbers of sets; count those that met in no earlier leaf.
 
     ``first`` has, for each level above, one row per set of all the leaves of
     that level and the number of the one we are in: a pair counts here only if
-    they differ in every earlier one.
+    they differ in every earlier one. With ``block``, only pairs of different
+    blocks count.
     """
     if len(members) > leaf:
         runs = runs_for(threshold, 1, recall)
@@ -163,12 +166,14 @@ def compare(members: np.ndarray, sets: list[np.ndarray], first: list[np.ndarray]
                 order = np.argsort(child[:, r], kind="stable")
                 for group in np.split(members[order], np.flatnonzero(np.diff(child[order, r])) + 1):
                     if len(group) > 1:
-                        compare(group, sets, [*first, at[:, :r]], level + 1, threshold, leaf, recall, links, forest)
+                        compare(group, sets, [*first, at[:, :r]], level + 1, threshold, leaf, recall, links, forest, block)
             return
     for i, near in near_pairs([sets[m] for m in members], threshold):
         if not len(near):
             continue
         a, others = members[i], members[near]
+        if block is not None:
+            others = others[block[others] != block[a]]
         new = np.ones(len(others), bool)
         for above in first:
             if above.shape[1]:
@@ -182,7 +187,7 @@ def compare(members: np.ndarray, sets: list[np.ndarray], first: list[np.ndarray]
 # --- the join ---------------------------------------------------------------
 
 
-def join(docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, depth: int = DEPTH, recall: float = RECALL, leaf: int = LEAF) -> DataFrame:
+def join(docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, depth: int = DEPTH, recall: float = RECALL, leaf: int = LEAF, block_sets: int = BLOCK_SETS) -> DataFrame:
     """``doc_id, class_id, n_links, n_copies`` for every row of ``docs``.
 
     ``class_id`` is the least ``doc_id`` of all documents that links or equal
@@ -202,8 +207,11 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, dept
     # Leaves with several texts; leaves with the same texts in them are one.
     walks = texts.select("rep", "set_key", F.posexplode("paths").alias("run", "leaf"))
     crowd = walks.groupBy("run", "leaf").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("set_key")).alias("sum1"), F.bit_xor(F.xxhash64("set_key", F.lit(1))).alias("sum2")).where("n > 1")
-    crowd = crowd.groupBy("n", "sum1", "sum2").agg(F.min(F.struct("run", "leaf")).alias("m")).select("m.run", "m.leaf")
-    places = walks.join(crowd, ["run", "leaf"]).groupBy("rep", "set_key").agg(F.collect_list(F.struct("run", "leaf")).alias("places"))
+    crowd = crowd.groupBy("n", "sum1", "sum2").agg(F.min(F.struct("run", "leaf")).alias("m")).select("m.run", "m.leaf", F.ceil(F.col("n") / block_sets).cast("int").alias("blocks"))
+    # A leaf of several blocks has a task for each pair of blocks; a text goes to those of its own block.
+    own = F.pmod(F.xxhash64("set_key", F.lit(9)), F.col("blocks")).cast("int")
+    tasks = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.struct("run", "leaf", F.least(b, own).alias("low"), F.greatest(b, own).alias("high"), own.alias("own")))
+    places = walks.join(crowd, ["run", "leaf"]).select("rep", "set_key", F.explode(tasks).alias("place")).groupBy("rep", "set_key").agg(F.collect_list("place").alias("places"))
     places = common.materialize(places.join(texts.select("rep", "set_key", "paths"), ["rep", "set_key"]), "jaccard-places")
 
     common.arrow_batches(docs.sparkSession)
@@ -213,7 +221,7 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, dept
         hashes = WordHashes()
         for batch in batches:
             for part in _slices(batch, 2 << 20):
-                out: dict[str, list] = {"rep": [], "run": [], "leaf": [], "paths": [], "shingles": []}
+                out: dict[str, list] = {"rep": [], "run": [], "leaf": [], "low": [], "high": [], "own": [], "paths": [], "shingles": []}
                 ids, keys, paths, spots = (part.column(part.schema.get_field_index(c)).to_pylist() for c in ("rep", "set_key", "paths", "places"))
                 for i, key, path, places_of, text in zip(ids, keys, paths, spots, common.texts_of(part), strict=True):
                     s = np.unique(shingle_hashes(hashes.of(words_of(text)), width))
@@ -221,12 +229,12 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, dept
                         continue  # another row with this doc_id
                     blob = common.zstandard.compress(s.tobytes(), 1)
                     for spot in places_of:
-                        for c, v in (("rep", i), ("run", spot["run"]), ("leaf", spot["leaf"]), ("paths", path), ("shingles", blob)):
+                        for c, v in (("rep", i), *spot.items(), ("paths", path), ("shingles", blob)):
                             out[c].append(v)
-                yield pa.RecordBatch.from_pydict({"rep": pa.array(out["rep"], pa.int64()), "run": pa.array(out["run"], pa.int32()), "leaf": pa.array(out["leaf"], pa.int64()), "paths": pa.array(out["paths"], pa.list_(pa.int64())), "shingles": pa.array(out["shingles"], pa.binary())})
+                yield pa.RecordBatch.from_pydict({"rep": pa.array(out["rep"], pa.int64()), "run": pa.array(out["run"], pa.int32()), "leaf": pa.array(out["leaf"], pa.int64()), **{c: pa.array(out[c], pa.int32()) for c in ("low", "high", "own")}, "paths": pa.array(out["paths"], pa.list_(pa.int64())), "shingles": pa.array(out["shingles"], pa.binary())})
 
     held = slim.join(places, slim.doc_id == places.rep).select("rep", "set_key", "paths", "places", "text")
-    spread = held.mapInArrow(load, "rep long, run int, leaf long, paths array<long>, shingles binary")
+    spread = held.mapInArrow(load, "rep long, run int, leaf long, low int, high int, own int, paths array<long>, shingles binary")
 
     def brute(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates("rep").sort_values("rep")
@@ -234,12 +242,13 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, dept
         sets = [np.frombuffer(common.zstandard.decompress(b), np.uint64) for b in pdf["shingles"]]
         links, forest = np.zeros(len(sets), np.int64), Forest(len(sets))
         paths = np.stack(pdf["paths"].to_list())[:, :r]
-        compare(np.arange(len(sets)), sets, [paths], 0, threshold, leaf, recall, links, forest)
+        cross = pdf["own"].to_numpy() if pdf["low"].iloc[0] != pdf["high"].iloc[0] else None
+        compare(np.arange(len(sets)), sets, [paths], 0, threshold, leaf, recall, links, forest, cross)
         roots = reps[[forest.root(k) for k in range(len(sets))]]
         kept = (links > 0) | (roots != reps)
         return pd.DataFrame({"rep": reps[kept], "root": roots[kept], "links": links[kept]})
 
-    found = common.materialize(spread.groupBy("run", "leaf").applyInPandas(brute, "rep long, root long, links long"), "jaccard-links")
+    found = common.materialize(spread.groupBy("run", "leaf", "low", "high").applyInPandas(brute, "rep long, root long, links long"), "jaccard-links")
     classes = common.components(found.select(F.col("rep").alias("src"), F.col("root").alias("dst")), "jaccard-classes")
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     known_texts = texts.select("set_key", "rep", "n_copies").join(counts, "rep", "left").join(classes, F.col("rep") == F.col("node"), "left").select("set_key", F.coalesce("component", "rep").alias("class"), F.coalesce("links", F.lit(0)).cast("long").alias("links"), "n_copies")
