@@ -21,6 +21,8 @@ from . import common
 CAPACITY = 2048
 #: Tokens that one group, packed by itself in one task, holds on average.
 GROUP_TOKENS = 2_000_000
+#: And items, as many short ones of one source make searches long.
+GROUP_ITEMS = 8_192
 
 SCHEMA = "doc_id long, piece int, bin_id string, bin_start int, doc_start long, n_tokens int, bin_tokens int"
 
@@ -61,7 +63,7 @@ def measure(docs: DataFrame, source: str | None = "source", tokens: str | None =
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col(source).cast("string") if source else F.lit(None).cast("string")).alias("source"), F.xxhash64(text).alias("cluster"), F.coalesce(n, F.lit(0)).alias("n_tokens"))
 
 
-def pack(items: DataFrame, capacity: int = CAPACITY, group_tokens: int = GROUP_TOKENS) -> DataFrame:
+def pack(items: DataFrame, capacity: int = CAPACITY, group_tokens: int = GROUP_TOKENS, group_items: int = GROUP_ITEMS) -> DataFrame:
     """Bins for ``items(doc_id, source, cluster, n_tokens)``.
 
     An item longer than ``capacity`` is cut into full pieces, bins by
@@ -72,8 +74,8 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group_tokens: int = GROUP_T
     own.
     """
     items = common.materialize(items.select("doc_id", "source", "cluster", "n_tokens"), "pack-items")
-    total = items.agg(F.sum(F.least(F.col("n_tokens"), F.lit(capacity)))).first()[0] or 0
-    groups = max(1, -(-total // group_tokens))
+    total, n = items.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.count("*")).first()
+    groups = max(1, -(-total // group_tokens), -(-n // group_items))
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
         group = int(pdf["group"].iloc[0])
