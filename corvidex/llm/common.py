@@ -11,6 +11,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import itertools
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -25,13 +26,15 @@ from pyspark.sql import functions as F
 #: Raw text bytes in a shard.
 SHARD_BYTES = 24 << 20
 #: Rows in an Arrow batch; texts can be long.
-ARROW_ROWS = 1000
+ARROW_ROWS = 250
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see; a local one only where the session names none (tests)."""
+    """The folder that the driver and all executors see; a temporary one only in local mode without a setting (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="corvidex-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

@@ -8,7 +8,6 @@ to words and to code points of the original.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import ahocorasick
@@ -207,7 +206,3 @@ def keep(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, block_bytes
             yield batch.filter(pa.array(ok, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
-
-
-def sha256_hex(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()

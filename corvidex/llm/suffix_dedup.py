@@ -110,7 +110,8 @@ class Runs:
             first, last = cut[:-1][ok], cut[1:][ok] - 1
             far = last + width - KMER
             content = _combine(h, first, first + KMER, far - KMER, far) + _U(0x9FB21C651E98DF25) * (last - first).astype(_U)
-            parts.append((first + at, last + at, h[anchor[first]], _scramble(content) >> _U(32)))
+            # Anchors are the least hashes: another scramble spreads them evenly over the buckets.
+            parts.append((first + at, last + at, _scramble(h[anchor[first]] * _U(0x9E3779B97F4A7C15)), _scramble(content) >> _U(32)))
         join = lambda k, kind: np.concatenate([p[k] for p in parts]).astype(kind) if parts else np.empty(0, kind)
         self.first, self.last, self.anchor, self.content = join(0, np.int64), join(1, np.int64), join(2, _U), join(3, np.uint32)
         self.doc = np.searchsorted(ends, self.first, "right")
