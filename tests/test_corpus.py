@@ -194,3 +194,25 @@ def test_stream(spark, folder, tmp_path):
     ingest.start(spark, str(folder), root, check).awaitTermination(120)
     rows = manifest.load(spark, root)
     assert rows.count() == n + 1 and rows.where("status = 'pending'").count() == 1
+
+
+def test_command_line(spark, folder, tmp_path, capsys):
+    from corvidex.__main__ import main
+
+    main(["inventory", str(folder)])
+    main(["triage", str(folder), "--manifest", str(tmp_path / "m")])
+    main(["triage", str(folder), "--manifest", str(tmp_path / "m")])
+    said = capsys.readouterr().out
+    assert "TOTAL" in said and "word_legacy" in said
+    assert manifest.load(spark, str(tmp_path / "m")).count() == len(set(CONTENT.values()))
+    with pytest.raises(SystemExit):
+        main(["triage", str(folder)])
+
+
+def test_functions_for_sql(spark):
+    from corvidex.functions.register import register
+
+    register(spark, fake_pages)
+    assert spark.sql("SELECT corpus_encoding(X'6162')").first()[0] == "ascii"
+    rows = spark.sql("SELECT f.path, p.page_num, length(p.text) AS n FROM VALUES ('/a.pdf') AS f(path), LATERAL page_texts(f.path) p ORDER BY 2").collect()
+    assert [(r.page_num, r.n) for r in rows] == [(1, 0), (2, 200)]
