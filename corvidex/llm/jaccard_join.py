@@ -34,7 +34,7 @@ RECALL = 0.9999
 #: Sets in a leaf that brute force takes; larger leaves split while that makes them smaller.
 LEAF = 1024
 #: Sets of a leaf that one task holds twice at most; a larger leaf is dealt into blocks, and each pair of blocks is a task.
-BLOCK_SETS = 4096
+BLOCK_SETS = 1024
 
 
 def runs_for(threshold: float, depth: int, recall: float) -> int:
