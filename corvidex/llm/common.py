@@ -13,6 +13,7 @@ import gc
 import itertools
 import re
 import tempfile
+import time
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -61,9 +62,15 @@ def discard(*written: DataFrame) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Have the driver collect its garbage: Spark deletes shuffle files once no frame refers to them."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Have the driver collect its garbage: Spark deletes shuffle files once no frame refers to them.
+
+    The bridge lets go of a frame a moment after Python does, hence two rounds.
+    """
+    for _ in range(2):
+        gc.collect()
+        time.sleep(0.3)
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def arrow_batches(spark: SparkSession) -> None:

@@ -38,9 +38,9 @@ KMER = 24
 #: Windows hashed at once: arrays of this many numbers stay in the cache.
 CHUNK = 1 << 18
 #: Bytes in one suffix array; candidates of a shard beyond it take several, which merge like shards do.
-ARRAY_BYTES = 2 << 20
+ARRAY_BYTES = 1 << 20
 #: Text bytes in a shard; its arrays take about 20 times as much.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 10 << 20
 #: Anchors or windows in a bucket, on average.
 BUCKET_KEYS = 750_000
 
