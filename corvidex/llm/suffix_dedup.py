@@ -40,7 +40,7 @@ CHUNK = 1 << 18
 #: Bytes in one suffix array; candidates of a shard beyond it take several, which merge like shards do.
 ARRAY_BYTES = 1 << 20
 #: Text bytes in a shard; its arrays take about 20 times as much.
-SHARD_BYTES = 10 << 20
+SHARD_BYTES = 6 << 20
 #: Anchors or windows in a bucket, on average.
 BUCKET_KEYS = 750_000
 
@@ -229,7 +229,10 @@ def merge_lists(lists: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
 
 
 def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The codes for a bucket's lists; what a shard wrote down for itself (a bucket below 0) passes."""
     common.tidy()
+    if pdf["bucket"].iloc[0] < 0:
+        return pdf
     codes = merge_lists([tuple(common.expand(b)) for b in pdf["blob"]])
     return pd.DataFrame({"shard": pdf["shard"], "bucket": pdf["bucket"], "blob": [common.squeeze(c) for c in codes]})
 
@@ -385,7 +388,7 @@ def repeats(docs: DataFrame, width: int = WIDTH, shard_bytes: int = SHARD_BYTES,
             later = np.repeat(order_key[runs.doc[same]], sizes) > least[number]
             _mark(covered, place[later], place[later] + width)
             open_ = ~later
-            yield common.table(_ROWS, shard=[shard], bucket=[-1], blob=[common.squeeze(np.packbits(covered), number[open_].astype(np.uint32), place[open_].astype(np.uint32), np.array([len(keys)]))])
+            yield common.table(_ROWS, shard=[shard], bucket=[-1 - shard % (1 << 30)], blob=[common.squeeze(np.packbits(covered), number[open_].astype(np.uint32), place[open_].astype(np.uint32), np.array([len(keys)]))])
             yield from _list_rows(shard, buckets, keys, np.zeros(len(keys), np.uint32), np.zeros(len(keys), np.uint8), least)
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -418,14 +421,15 @@ def repeats(docs: DataFrame, width: int = WIDTH, shard_bytes: int = SHARD_BYTES,
         by_shard = rows.groupBy("shard").agg(F.collect_list(F.struct("bucket", "blob")).alias("rows"))
         return packed.join(by_shard, "shard", "left").select(*columns, "docs", "rows")
 
-    def windows() -> DataFrame:
-        anchors = packed.mapInArrow(list_anchors, _ROWS_SQL).groupBy("bucket").applyInPandas(_merge, _ROWS_SQL)
-        return common.materialize(gathered(anchors, "shard").mapInArrow(list_windows, _ROWS_SQL), "suffix-windows")
+    def merged(lists: DataFrame, label: str) -> DataFrame:
+        return common.materialize(lists.groupBy("bucket").applyInPandas(_merge, _ROWS_SQL), label)
 
-    found = windows()
+    # Lists exist as shuffle files only, one kind at a time; the answers are small.
+    anchors = merged(packed.mapInArrow(list_anchors, _ROWS_SQL), "suffix-anchors")
     common.release(docs.sparkSession)
-    merged = found.where("bucket >= 0").groupBy("bucket").applyInPandas(_merge, _ROWS_SQL)
-    return gathered(merged.unionByName(found.where("bucket < 0"))).mapInArrow(cut_out, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    windows = merged(gathered(anchors, "shard").mapInArrow(list_windows, _ROWS_SQL), "suffix-windows")
+    common.release(docs.sparkSession)
+    return gathered(windows).mapInArrow(cut_out, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
 
 
 def digest(found: DataFrame) -> DataFrame:
