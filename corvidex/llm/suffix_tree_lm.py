@@ -282,6 +282,12 @@ def grow(counts: dict[bytes, dict[int, int]], least_share: float, divergence: fl
     return Automaton(step, cost, number[start], names)
 
 
+def log_add(count: np.ndarray, log_rest: np.ndarray) -> np.ndarray:
+    """The log10 of ``count + 10**log_rest``; long words are so unlikely that the power itself is 0."""
+    with np.errstate(divide="ignore"):
+        return np.logaddexp(np.log(count), log_rest * math.log(10)) / math.log(10)
+
+
 def _frequent(grams: DataFrame, depth: int, least_share: float) -> dict[bytes, dict[int, int]]:
     """Symbols after each context whose share is large enough: at most ``1 / least_share`` contexts of each length."""
     total = grams.agg(F.sum("n")).first()[0] or 0
@@ -361,7 +367,8 @@ def score(docs: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE,
         if words and words[0] == b"":
             spelled[0] = a.cost[a.start, END]
         # The root's distribution over words, smoothed with the spelling (Witten-Bell: as much weight as types).
-        spelled = np.log10((count + n_types * 10.0**spelled) / (n_tokens + n_types)) if n_tokens else spelled
+        if n_tokens:
+            spelled = log_add(count, math.log10(n_types) + spelled) - math.log10(n_tokens + n_types)
         rows = []
         for shard, blob in blobs.items():
             (number,) = common.expand(blob)
@@ -398,15 +405,16 @@ def score(docs: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE,
             if len(packed_counts) != len(keys):
                 raise RuntimeError("an answer is missing")
             c, n, types = ((packed_counts >> _U(k)) & _U((1 << w) - 1) for k, w in ((40, 24), (16, 24), (0, 16)))
-            root = 10.0 ** lp[own.tokens]
-            weight = WORD_SMOOTHING * types[pair]
-            with np.errstate(invalid="ignore", divide="ignore"):
-                word = np.where(n[pair] > 0, (c[pair] + weight * root) / (n[pair] + weight), root)
+            word = lp[own.tokens]
+            state = n[pair] > 0
+            of = pair[state]
+            weight = WORD_SMOOTHING * types[of]
+            word[state] = log_add(c[of], np.log10(weight) + word[state]) - np.log10(n[of] + weight)
             sums = lambda x: np.add.reduceat(x, own.starts) if len(own.starts) else np.empty(0)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": pa.array(own.numbers, pa.int64()), "held_out": pa.array(~own.train), "n_tokens": pa.array(own.ends - own.starts + 1, pa.int64()),
                 "n_known": pa.array(sums((count[own.tokens] > 0).astype(np.int64)), pa.int64()), "train_tokens": pa.array([n_tokens] * len(own.numbers), pa.int64()),
-                "base_score": pa.array(sums((np.log10(count + 1.0) - floor)[own.tokens]), pa.float64()), "score": pa.array(sums(np.log10(word)), pa.float64()),
+                "base_score": pa.array(sums((np.log10(count + 1.0) - floor)[own.tokens]), pa.float64()), "score": pa.array(sums(word), pa.float64()),
             })
 
     return packed.join(by_shard, "shard").select("docs", "rows").mapInArrow(add_up, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -87,3 +87,12 @@ def test_merged_contexts():
     a, b = lm.merge_contexts([one, two], 5.0)
     unpack = lambda x: (int(x) >> 40, int(x) >> 16 & (1 << 24) - 1, int(x) & 0xFFFF)
     assert unpack(a[0]) == (5, 5, 1) == unpack(b[0]) and unpack(a[1]) == (0, 5, 1) and unpack(a[2]) == (1, 1, 1) and int(b[1]) == 0
+
+
+def test_long_unknown_words_have_a_score(docs):
+    held = next(i for i in range(1, 100) if lm.held_out(i))
+    train = [(i, "some words " * 5) for i in range(100, 150) if not lm.held_out(i)]
+    rng = random.Random(1)
+    odd = "".join(chr(rng.randrange(0x4E00, 0x9F00)) for _ in range(400))
+    got = {r.doc_id: r.score for r in lm.score(docs([*train, (held, f"some {odd} words")])).collect()}
+    assert all(math.isfinite(s) for s in got.values()) and got[held] < -300
