@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from . import common
 from .shingles import mix
-from .suffix_dedup import _answers, _list_rows
+from .suffix_dedup import _list_rows
 
 DEPTH = 5
 #: A state's share of all training symbols is at least this, which bounds the states of a depth by its inverse.
@@ -116,18 +116,21 @@ class _Shard:
     def counts(self) -> np.ndarray:
         return np.bincount(self.tokens[self.trains], minlength=len(self.words))
 
-    def contexts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct pairs of a context and the word after it, sorted, their training counts, and the pair of each token."""
+    def contexts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes of the distinct pairs of a context and the word after it, sorted, their training counts, and the pair of each token."""
         h = self.hashes[self.tokens]
         one, two = np.empty_like(h), np.empty_like(h)
         one[1:], two[2:] = h[:-1], h[:-2]
         one[self.starts] = two[self.starts] = _U(_START[0])
         second = self.starts[self.starts < self.ends] + 1
         two[second] = _U(_START[1])
-        low = _U((1 << _NEXT_BITS) - 1)
-        key = (mix(one * _U(0xC2B2AE3D27D4EB4F) + two) & ~low) | (h & low)
-        keys, pair = np.unique(key, return_inverse=True)
-        return keys, np.bincount(pair[self.trains], minlength=len(keys)).astype(np.uint32), pair
+        before = mix(one * _U(0xC2B2AE3D27D4EB4F) + two)
+        order = np.lexsort((h, before))
+        before, h = before[order], h[order]
+        head = np.concatenate(([True], (before[1:] != before[:-1]) | (h[1:] != h[:-1]))) if len(h) else np.empty(0, bool)
+        pair = np.empty(len(h), np.int64)
+        pair[order] = np.cumsum(head) - 1
+        return before[head], h[head], np.bincount(pair[self.trains], minlength=int(head.sum())).astype(np.uint32), pair
 
 
 def _words_blob(words: list[bytes], *columns: np.ndarray) -> bytes:
@@ -334,8 +337,8 @@ def score(docs: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE,
 
     def list_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, blob in common.each_shard(batches):
-            keys, counts, _ = _Shard(blob).contexts()
-            yield from _list_rows(shard, context_buckets, keys, counts)
+            before, after, counts, _ = _Shard(blob).contexts()
+            yield from _list_rows(shard, context_buckets, before, after, counts)
 
     merged = common.materialize(packed.mapInArrow(list_words, _ROWS_SQL).groupBy("bucket").applyInPandas(_merge_words(depth), _ROWS_SQL), "lm-words")
 
@@ -377,7 +380,7 @@ def score(docs: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE,
 
     def answer_contexts(pdf: pd.DataFrame) -> pd.DataFrame:
         common.tidy()
-        return pd.DataFrame({"shard": pdf["shard"], "bucket": pdf["bucket"], "blob": [common.squeeze(x) for x in merge_contexts([tuple(common.expand(b)) for b in pdf["blob"]], entropy)]})
+        return pd.DataFrame({"shard": pdf["shard"], "bucket": pdf["bucket"], "blob": [common.squeeze(*x) for x in merge_pairs([tuple(common.expand(b)) for b in pdf["blob"]], entropy)]})
 
     def answered() -> DataFrame:
         words = merged.where("shard >= -1").groupBy("bucket").applyInPandas(answer, _ROWS_SQL).withColumn("kind", F.lit("w"))
@@ -400,11 +403,11 @@ def score(docs: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE,
                     numbers = split[r["bucket"]][1]
                     count[numbers], lp[numbers] = common.expand(r["blob"])
             del split
-            packed_counts = _answers([r for r in rows if r["kind"] == "c"], -1)
-            keys, _, pair = own.contexts()
-            if len(packed_counts) != len(keys):
+            parts = [common.expand(r["blob"]) for r in sorted((r for r in rows if r["kind"] == "c"), key=lambda r: r["bucket"])]
+            keys, _, _, pair = own.contexts()
+            if sum(len(p[0]) for p in parts) != len(keys):
                 raise RuntimeError("an answer is missing")
-            c, n, types = ((packed_counts >> _U(k)) & _U((1 << w) - 1) for k, w in ((40, 24), (16, 24), (0, 16)))
+            c, n, types = (np.concatenate([p[k] for p in parts]) for k in range(3))
             word = lp[own.tokens]
             state = n[pair] > 0
             of = pair[state]
@@ -420,11 +423,32 @@ def score(docs: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE,
     return packed.join(by_shard, "shard").select("docs", "rows").mapInArrow(add_up, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
+def merge_pairs(lists: list[tuple[np.ndarray, np.ndarray, np.ndarray]], entropy: float) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each list of pairs (context, next word, count): the pair's count, its context's and the number of different words after it; 0 if the context is no state."""
+    before, after, counts = (np.concatenate([x[k] for x in lists]) for k in range(3))
+    order = np.lexsort((after, before))
+    before, after = before[order], after[order]
+    new = np.concatenate(([True], before[1:] != before[:-1]))
+    first = new | np.concatenate(([True], after[1:] != after[:-1]))
+    place = np.empty(len(order), np.int64)
+    place[order] = np.cumsum(first) - 1
+    count = np.add.reduceat(counts[order].astype(np.int64), np.flatnonzero(first))
+    head = np.flatnonzero(new[first])
+    of = np.cumsum(new[first]) - 1
+    n, types = np.add.reduceat(count, head), np.add.reduceat((count > 0).astype(np.int64), head)
+    own = np.add.reduceat(np.where(count > 0, count * np.log(np.maximum(count, 1)), 0.0), head)
+    gain = n * entropy - (n * np.log(np.maximum(n, 1)) - own)
+    state = (n > 0) & (gain >= WORD_GAIN * types)
+    out = [np.where(state[of], x, 0) for x in (count, n[of], types[of])]
+    ends = np.cumsum([len(x[0]) for x in lists])[:-1]
+    return list(zip(*(np.split(x[place], ends) for x in out), strict=True))
+
+
 def merge_contexts(lists: list[tuple[np.ndarray, np.ndarray]], entropy: float) -> list[np.ndarray]:
-    """For each list of pairs: the pair's count, its context's and the number of different words after it, in one number; 0 if the context is no state.
+    """``merge_pairs`` in a packed form that the scores don't use. For each list of pairs: the pair's count, its context's and the number of different words after it, in one number; 0 if the context is no state.
 
     Counts share out 64 bits as 24, 24 and 16; a context with more is scaled
-    down to fit, so its shares stay.
+    down to fit, and its rare words may get no count.
     """
     keys = np.unique(np.concatenate([x[0] for x in lists]))
     places = [np.searchsorted(keys, x[0]) for x in lists]

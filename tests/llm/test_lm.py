@@ -96,3 +96,16 @@ def test_long_unknown_words_have_a_score(docs):
     odd = "".join(chr(rng.randrange(0x4E00, 0x9F00)) for _ in range(400))
     got = {r.doc_id: r.score for r in lm.score(docs([*train, (held, f"some {odd} words")])).collect()}
     assert all(math.isfinite(s) for s in got.values()) and got[held] < -300
+
+
+def test_large_contexts_keep_rare_words():
+    # 200,000 words follow one context, one of them very often; a second list asks for words that never did.
+    rng = np.random.default_rng(0)
+    words = np.unique(rng.integers(0, 2**63, 200_000).astype(np.uint64))
+    counts = np.ones(len(words), np.uint32)
+    counts[7] = 30_000_000
+    unseen = np.unique(rng.integers(0, 2**63, 5000).astype(np.uint64))
+    context = lambda k: np.full(k, 5, np.uint64)
+    (c, n, types), (d, m, _) = lm.merge_pairs([(context(len(words)), words, counts), (context(len(unseen)), unseen, np.zeros(len(unseen), np.uint32))], 50.0)
+    assert (c == counts).all() and (n == counts.sum(dtype=np.int64)).all() and (types == len(words)).all()
+    assert (d == 0).all() and (m == n[0]).all()
