@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__
 import corpus_pipeline
-from corvidex.llm import quality_rules, queries
+from corvidex.llm import quality_rules, queries, secret_scan
 
 from .test_dedup import plain_join
 from .test_simple import plain_contamination
@@ -39,3 +39,11 @@ def test_stages_keep_the_columns(spark, sf):
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_queries_are_registered(name):
     assert name in __spark_entry__.queries()
+
+
+def test_private_keys_go_whole(docs):
+    body = "\n".join(["MIIEow/+" * 8] * 3 + ["QUJD=="])
+    head, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    texts = [f"a {head}\n{body}\n{end} z", f"a {head}\nProc-Type: 4,ENCRYPTED\n\n{body}\n{end} z", f"a {head}\n{body}\nthe text goes on", f"a {head} z"]
+    got = {r.doc_id: r.text for r in secret_scan.redact(docs(texts)).collect()}
+    assert got == {0: "a [SECRET] z", 1: "a [SECRET] z", 2: "a [SECRET]\nthe text goes on", 3: "a [SECRET] z"}
