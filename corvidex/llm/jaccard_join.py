@@ -15,6 +15,7 @@ no list of pairs, and links leave a leaf as a forest, so rows stay linear.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .shingles import WIDTH, WordHashes, mix, seed, shingle_hashes, words_of
+from .shingles import WIDTH, mix, seed, shingle_sets
 
 THRESHOLD = 0.8
 #: Nodes below the root on a path, before leaves that are too large split.
@@ -61,14 +62,12 @@ def leaves(shingles: np.ndarray, lens: np.ndarray, depth: int, runs: int) -> np.
 
 
 def signatures(docs: DataFrame, width: int, depth: int, runs: int) -> DataFrame:
-    """``doc_id, set_key, n_shingles, paths``; a text without words has a null ``set_key``."""
-    common.arrow_batches(docs.sparkSession)
+    """``doc_id, print, set_key, n_shingles, paths``; a text without words has a null ``set_key``, and ``print`` is a hash of the text itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             for part in _slices(batch):
-                sets = [np.unique(shingle_hashes(hashes.of(words_of(t)), width)) for t in common.texts_of(part)]
+                sets = shingle_sets(common.texts_of(part), width)
                 lens = np.fromiter(map(len, sets), np.int64, len(sets))
                 some = lens > 0
                 keys = [xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None for s in sets]
@@ -77,9 +76,9 @@ def signatures(docs: DataFrame, width: int, depth: int, runs: int) -> DataFrame:
                     met = leaves(np.concatenate([s for s in sets if len(s)]), lens[some], depth, runs).view(np.int64)
                     for k, row in zip(np.flatnonzero(some), met, strict=True):
                         paths[k] = row
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(keys, pa.int64()), pa.array(lens), pa.array(paths, pa.list_(pa.int64()))], names=["doc_id", "set_key", "n_shingles", "paths"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(keys, pa.int64()), pa.array(lens), pa.array(paths, pa.list_(pa.int64()))], names=["doc_id", "print", "set_key", "n_shingles", "paths"])
 
-    return docs.mapInArrow(run, "doc_id long, set_key long, n_shingles long, paths array<long>")
+    return docs.select("doc_id", F.xxhash64("text").alias("print"), "text").mapInArrow(run, "doc_id long, print long, set_key long, n_shingles long, paths array<long>")
 
 
 def _slices(batch: pa.RecordBatch, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
@@ -187,17 +186,10 @@ def compare(members: np.ndarray, sets: list[np.ndarray], first: list[np.ndarray]
 # --- the join ---------------------------------------------------------------
 
 
-def join(docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, depth: int = DEPTH, recall: float = RECALL, leaf: int = LEAF, block_sets: int = BLOCK_SETS) -> DataFrame:
-    """``doc_id, class_id, n_links, n_copies`` for every row of ``docs``.
-
-    ``class_id`` is the least ``doc_id`` of all documents that links or equal
-    sets connect; ``n_links`` counts the different other texts (shingle sets)
-    whose similarity to this one is ``threshold`` or more; ``n_copies`` counts
-    the rows with an equal set. A text without words (null and empty ones too)
-    is alone in its class; a row with a null ``doc_id`` isn't compared and its
-    ``class_id`` is null. Other columns aren't read.
-    """
+def _classed(docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, depth: int = DEPTH, recall: float = RECALL, leaf: int = LEAF, block_sets: int = BLOCK_SETS) -> DataFrame:
+    """``doc_id, print, set_key, class_key, class_id, n_links, n_copies`` for every row of ``docs``; a class has one ``class_key``."""
     runs = runs_for(threshold, depth, recall)
+    common.arrow_batches(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = common.materialize(signatures(slim, width, depth, runs), "jaccard-rows")
     known = rows.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
@@ -214,50 +206,79 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, dept
     places = walks.join(crowd, ["run", "leaf"]).select("rep", "set_key", F.explode(tasks).alias("place")).groupBy("rep", "set_key").agg(F.collect_list("place").alias("places"))
     places = common.materialize(places.join(texts.select("rep", "set_key", "paths"), ["rep", "set_key"]), "jaccard-places")
 
-    common.arrow_batches(docs.sparkSession)
-
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each leaf that a text is in, with its shingles."""
-        hashes = WordHashes()
         for batch in batches:
             for part in _slices(batch, 2 << 20):
-                out: dict[str, list] = {"rep": [], "run": [], "leaf": [], "low": [], "high": [], "own": [], "paths": [], "shingles": []}
-                ids, keys, paths, spots = (part.column(part.schema.get_field_index(c)).to_pylist() for c in ("rep", "set_key", "paths", "places"))
-                for i, key, path, places_of, text in zip(ids, keys, paths, spots, common.texts_of(part), strict=True):
-                    s = np.unique(shingle_hashes(hashes.of(words_of(text)), width))
+                out: dict[str, list] = {"node": [], "run": [], "leaf": [], "low": [], "high": [], "own": [], "paths": [], "shingles": []}
+                keys, paths, spots = (part.column(part.schema.get_field_index(c)).to_pylist() for c in ("set_key", "paths", "places"))
+                for key, path, places_of, s in zip(keys, paths, spots, shingle_sets(common.texts_of(part), width), strict=True):
                     if not len(s) or xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) != key:
                         continue  # another row with this doc_id
                     blob = common.zstandard.compress(s.tobytes(), 1)
                     for spot in places_of:
-                        for c, v in (("rep", i), *spot.items(), ("paths", path), ("shingles", blob)):
+                        for c, v in (("node", key), *spot.items(), ("paths", path), ("shingles", blob)):
                             out[c].append(v)
-                yield pa.RecordBatch.from_pydict({"rep": pa.array(out["rep"], pa.int64()), "run": pa.array(out["run"], pa.int32()), "leaf": pa.array(out["leaf"], pa.int64()), **{c: pa.array(out[c], pa.int32()) for c in ("low", "high", "own")}, "paths": pa.array(out["paths"], pa.list_(pa.int64())), "shingles": pa.array(out["shingles"], pa.binary())})
+                yield pa.RecordBatch.from_pydict({"node": pa.array(out["node"], pa.int64()), "run": pa.array(out["run"], pa.int32()), "leaf": pa.array(out["leaf"], pa.int64()), **{c: pa.array(out[c], pa.int32()) for c in ("low", "high", "own")}, "paths": pa.array(out["paths"], pa.list_(pa.int64())), "shingles": pa.array(out["shingles"], pa.binary())})
 
-    held = slim.join(places, slim.doc_id == places.rep).select("rep", "set_key", "paths", "places", "text")
-    spread = held.mapInArrow(load, "rep long, run int, leaf long, low int, high int, own int, paths array<long>, shingles binary")
+    held = slim.join(places, slim.doc_id == places.rep).select("set_key", "paths", "places", "text")
+    spread = held.mapInArrow(load, "node long, run int, leaf long, low int, high int, own int, paths array<long>, shingles binary")
 
     def brute(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("rep").sort_values("rep")
-        reps, r = pdf["rep"].to_numpy(), int(pdf["run"].iloc[0])
+        pdf = pdf.drop_duplicates("node").sort_values("node")
+        nodes, r = pdf["node"].to_numpy(), int(pdf["run"].iloc[0])
         sets = [np.frombuffer(common.zstandard.decompress(b), np.uint64) for b in pdf["shingles"]]
         links, forest = np.zeros(len(sets), np.int64), Forest(len(sets))
         paths = np.stack(pdf["paths"].to_list())[:, :r]
         cross = pdf["own"].to_numpy() if pdf["low"].iloc[0] != pdf["high"].iloc[0] else None
         compare(np.arange(len(sets)), sets, [paths], 0, threshold, leaf, recall, links, forest, cross)
-        roots = reps[[forest.root(k) for k in range(len(sets))]]
-        kept = (links > 0) | (roots != reps)
-        return pd.DataFrame({"rep": reps[kept], "root": roots[kept], "links": links[kept]})
-
-    found = common.materialize(spread.groupBy("run", "leaf", "low", "high").applyInPandas(brute, "rep long, root long, links long"), "jaccard-links")
-    classes = common.components(found.select(F.col("rep").alias("src"), F.col("root").alias("dst")), "jaccard-classes")
-    counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    known_texts = texts.select("set_key", "rep", "n_copies").join(counts, "rep", "left").join(classes, F.col("rep") == F.col("node"), "left").select("set_key", F.coalesce("component", "rep").alias("class"), F.coalesce("links", F.lit(0)).cast("long").alias("links"), "n_copies")
+        roots = nodes[[forest.root(k) for k in range(len(sets))]]
+        kept = (links > 0) | (roots != nodes)
+        return pd.DataFrame({"node": nodes[kept], "root": roots[kept], "links": links[kept]})
+
+    found = common.materialize(spread.groupBy("run", "leaf", "low", "high").applyInPandas(brute, "node long, root long, links long"), "jaccard-links")
+    classes = common.components(found.select(F.col("node").alias("src"), F.col("root").alias("dst")), "jaccard-classes")
+    counts = found.groupBy(F.col("node").alias("set_key")).agg(F.sum("links").alias("links"))
+    # A number that several texts carry names a class only if it has no other.
+    twice = known.groupBy("doc_id").agg(F.min("set_key").alias("low"), F.max("set_key").alias("high")).where("low < high").select("doc_id")
+    names = known.select("doc_id", "set_key").distinct().join(twice.withColumn("shared", F.lit(1)), "doc_id", "left").groupBy("set_key").agg(F.min(F.struct(F.coalesce("shared", F.lit(0)).alias("shared"), "doc_id")).alias("name"))
+    nodes = texts.select("set_key", "n_copies").join(counts, "set_key", "left").join(names, "set_key").join(classes, F.col("set_key") == F.col("node"), "left").select("set_key", F.coalesce("component", "set_key").alias("class_key"), "name", F.coalesce("links", F.lit(0)).cast("long").alias("links"), "n_copies")
+    nodes = common.materialize(nodes, "jaccard-nodes")
+    named = nodes.groupBy("class_key").agg(F.min("name").alias("name")).select("class_key", F.col("name.doc_id").alias("class"))
+    every = nodes.drop("name").join(named, "class_key")
     usable = F.col("doc_id").isNotNull()
-    return rows.select("doc_id", "set_key").join(known_texts, "set_key", "left").select("doc_id", F.when(usable, F.coalesce("class", "doc_id")).alias("class_id"), F.when(usable, F.coalesce("links", F.lit(0))).cast("long").alias("n_links"), F.when(usable, F.coalesce("n_copies", F.lit(1))).cast("long").alias("n_copies"))
+    return rows.select("doc_id", "print", "set_key").join(every, "set_key", "left").select("doc_id", "print", "set_key", "class_key", F.when(usable, F.coalesce("class", "doc_id")).alias("class_id"), F.when(usable, F.coalesce("links", F.lit(0))).cast("long").alias("n_links"), F.when(usable, F.coalesce("n_copies", F.lit(1))).cast("long").alias("n_copies"))
+
+
+def join(docs: DataFrame, **options) -> DataFrame:
+    """``doc_id, class_id, n_links, n_copies`` for every row of ``docs(doc_id, text)``.
+
+    ``class_id`` is the least ``doc_id`` of all documents that links or equal
+    sets connect (of those that only one text carries, if there are any);
+    ``n_links`` counts the different other texts (shingle sets) whose similarity
+    to this one is ``threshold`` or more; ``n_copies`` counts the rows with an
+    equal set. Texts count, not numbers: rows with one ``doc_id`` and different
+    texts are different, repeated rows are copies. A text without words (null
+    and empty ones too) is alone in its class; a row with a null ``doc_id``
+    isn't compared and its ``class_id`` is null. Texts may be of any length: a
+    task holds the shingles of one leaf. Where more than ``leaf`` sets in a
+    leaf are split further, pairs that meet in no split count with the
+    probability ``recall`` like all others. Other columns aren't read.
+    ``options`` are ``threshold``, ``width``, ``depth``, ``recall``, ``leaf``
+    and ``block_sets``.
+    """
+    return _classed(docs, **options).select("doc_id", "class_id", "n_links", "n_copies")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """One row of each class of ``docs``: that with the least ``doc_id``. Rows with a null ``doc_id`` stay."""
-    first = join(docs, **options).where("doc_id = class_id").select("doc_id").distinct()
-    chosen = docs.where("doc_id IS NOT NULL").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return chosen.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    """One row of each class of ``docs``: that with the least ``doc_id``, of several texts with it that with the least hash.
+
+    Rows with a null ``doc_id`` and texts without words belong to no class and stay.
+    """
+    of = _classed(docs, **options).where("class_key IS NOT NULL AND doc_id IS NOT NULL")
+    first = of.groupBy("class_key").agg(F.min(F.struct("doc_id", "print")).alias("m")).select("m.doc_id", "m.print")
+    mark, number = (f"{c}_{uuid.uuid4().hex}" for c in ("print", "number"))  # no column of the documents has these names
+    marked = docs.withColumns({mark: F.xxhash64(F.col("text").cast("string")), number: F.col("doc_id").cast("long")})
+    spare = F.expr(r"doc_id IS NULL OR coalesce(cast(text AS string), '') RLIKE '^[\\x20\\x09-\\x0D]*$'")
+    chosen = marked.where(~spare).join(first.select(F.col("doc_id").alias(number), F.col("print").alias(mark)), [number, mark], "left_semi").dropDuplicates([number, mark])
+    return chosen.select(*docs.columns).unionByName(docs.where(spare))

@@ -237,8 +237,8 @@ def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"shard": pdf["shard"], "bucket": pdf["bucket"], "blob": [common.squeeze(c) for c in codes]})
 
 
-_ROWS = pa.schema([("shard", pa.int64()), ("bucket", pa.int32()), ("blob", pa.binary())])
-_ROWS_SQL = "shard long, bucket int, blob binary"
+_ROWS = pa.schema([("shard", pa.int64()), ("bucket", pa.int64()), ("blob", pa.binary())])
+_ROWS_SQL = "shard long, bucket long, blob binary"
 
 
 def _list_rows(shard: int, buckets: int, keys: np.ndarray, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -388,7 +388,7 @@ def repeats(docs: DataFrame, width: int = WIDTH, shard_bytes: int = SHARD_BYTES,
             later = np.repeat(order_key[runs.doc[same]], sizes) > least[number]
             _mark(covered, place[later], place[later] + width)
             open_ = ~later
-            yield common.table(_ROWS, shard=[shard], bucket=[-1 - shard % (1 << 30)], blob=[common.squeeze(np.packbits(covered), number[open_].astype(np.uint32), place[open_].astype(np.uint32), np.array([len(keys)]))])
+            yield common.table(_ROWS, shard=[shard], bucket=[-1 - shard], blob=[common.squeeze(np.packbits(covered), number[open_].astype(np.uint32), place[open_].astype(np.uint32), np.array([len(keys)]))])
             yield from _list_rows(shard, buckets, keys, np.zeros(len(keys), np.uint32), np.zeros(len(keys), np.uint8), least)
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -57,8 +57,8 @@ CONTEXTS_A_BUCKET = 750_000
 
 BLANK, END = 0x20, 0x0A  #: bytes that no word has: before and after a word; the text's end
 _U = np.uint64
-_ROWS = pa.schema([("shard", pa.int64()), ("bucket", pa.int32()), ("blob", pa.binary())])
-_ROWS_SQL = "shard long, bucket int, blob binary"
+_ROWS = pa.schema([("shard", pa.int64()), ("bucket", pa.int64()), ("blob", pa.binary())])
+_ROWS_SQL = "shard long, bucket long, blob binary"
 WORDS_A_BUCKET = 400_000
 
 
