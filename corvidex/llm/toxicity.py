@@ -230,7 +230,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int =
     """Learn from at most ``sample`` labelled rows, taken by a hash of their number, none of them held out.
 
     ``labels`` with a null number or label don't count; of several labels for a
-    document the greatest does.
+    document the greatest does. Without any that counts, every text scores 1/3.
     """
     common.arrow_batches(docs.sparkSession)
     chosen = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) != 0)
@@ -259,7 +259,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int =
 
     seen = rows.mapInArrow(measure, "x array<double>, y int").collect()  # at most ``sample`` rows of eight numbers
     if not positive or positive == n:
-        return Model(lexicon, (0.0,) * len(FEATURES), math.log((positive + 0.5) / (n - positive + 0.5)))
+        return Model(lexicon, (0.0,) * len(FEATURES), math.log((positive + 0.5) / (n - positive + 1)))
     w, b = fit_logistic(np.array([r.x for r in seen]), np.array([r.y for r in seen], float))
     return Model(lexicon, tuple(w.tolist()), b)
 
