@@ -8,6 +8,7 @@ aggregations over the ledger.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -170,17 +171,18 @@ def keep(docs: DataFrame, policy: Policy = POLICY_V1) -> DataFrame:
     """
     common.arrow_batches(docs.sparkSession)
     names = docs.columns
+    own = f"__{uuid.uuid4().hex}_"  # no column of ``docs`` has such a name
     at = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = np.array([measure(t) for t in common.texts_of(batch, names[at])], np.int64).reshape(-1, len(MEASURES))
             extra = [pa.array(c) for c in rows.T]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=[*names, *(f"__{m}" for m in MEASURES)])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=[*names, *(f"{own}{m}" for m in MEASURES)])
 
-    schema = StructType([*docs.schema.fields, *(StructField(f"__{m}", LongType()) for m in MEASURES)])
+    schema = StructType([*docs.schema.fields, *(StructField(f"{own}{m}", LongType()) for m in MEASURES)])
     failed = F.lit(False)
     for rule in RULES:
         if (policy.mask | BASE_MASK) >> rule.bit & 1:
-            failed = failed | rule.failed("__")
+            failed = failed | rule.failed(own)
     return docs.mapInArrow(run, schema).where(~failed).select(*names)

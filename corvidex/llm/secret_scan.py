@@ -8,6 +8,7 @@ to every row (path) that carries the blob.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -121,6 +122,7 @@ def redact(docs: DataFrame, ledger: DataFrame | None = None, mark: str = "[SECRE
 
     Overlapping spans are merged first. Rows without a finding are unchanged.
     """
+    own_blob, own_from, own_to = (f"__{uuid.uuid4().hex}" for _ in range(3))  # no columns of ``docs``
     fresh = common.materialize(update(docs, ledger), "secret-ledger")
     book = fresh if ledger is None else fresh.unionByName(ledger.where(F.col("rule_version") == RULE_VERSION).select(*fresh.columns))
     empty = F.array().cast("array<struct<start:long,end:long>>")
@@ -132,14 +134,14 @@ def redact(docs: DataFrame, ledger: DataFrame | None = None, mark: str = "[SECRE
             F.struct(F.when(acc["start"] >= 0, F.concat(acc["done"], F.array(span(acc["start"], acc["end"])))).otherwise(acc["done"]).alias("done"), s["start"].alias("start"), s["end"].alias("end"))),
         lambda acc: F.concat(acc["done"], F.array(span(acc["start"], acc["end"]))),
     )
-    hits = book.where(F.size("findings") > 0).dropDuplicates(["blob"]).select(F.col("blob").alias("__blob"), merged.alias("spans"))
+    hits = book.where(F.size("findings") > 0).dropDuplicates(["blob"]).select(F.col("blob").alias(own_blob), merged.alias("spans"))
     # What stays: from the end of a span to the start of the next. Written first, so that the stage with the texts only cuts.
     none = F.lit(None).cast("long")
-    bounds = hits.select("__blob", F.concat(F.array(F.lit(0).cast("long")), F.col("spans.end")).alias("__from"), F.concat(F.col("spans.start"), F.array(none)).alias("__to"))
+    bounds = hits.select(own_blob, F.concat(F.array(F.lit(0).cast("long")), F.col("spans.end")).alias(own_from), F.concat(F.col("spans.start"), F.array(none)).alias(own_to))
     bounds = common.materialize(bounds, "secret-bounds")
-    pieces = F.zip_with("__from", "__to", lambda a, b: F.substring(F.col("text"), (a + 1).cast("int"), F.coalesce(b - a, F.lit(2147483647).cast("long")).cast("int")))
-    found = F.col("__from").isNotNull()
-    joined = docs.withColumn("__blob", blob()).join(bounds, "__blob", "left").withColumn("text", F.when(found, F.array_join(pieces, mark)).otherwise(F.col("text")))
+    pieces = F.zip_with(own_from, own_to, lambda a, b: F.substring(F.col("text"), (a + 1).cast("int"), F.coalesce(b - a, F.lit(2147483647).cast("long")).cast("int")))
+    found = F.col(own_from).isNotNull()
+    joined = docs.withColumn(own_blob, blob()).join(bounds, own_blob, "left").withColumn("text", F.when(found, F.array_join(pieces, mark)).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         joined = joined.withColumn("n_chars", F.when(found, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return joined.select(*docs.columns)
