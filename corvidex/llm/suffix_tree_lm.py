@@ -2,11 +2,13 @@
 
 A text is its words and an end.  The tree has two kinds of contexts:
 
-*   Before a word: the two words before it.  A context is a state if what
-    follows it is less uncertain than words are at large, by a test on its
-    gain in entropy; its next-word distribution is smoothed with the root's
-    by the number of different words that follow.  Otherwise the root's counts
-    speak, smoothed with the spelled probability.
+*   Before a word: the words before it, none to ``order`` of them, a text's
+    start among them. A context is grown from one that was seen often enough,
+    and is a state if its next words diverge from its parent's (the longest
+    state among its shorter suffixes): if, with each occurrence left out in
+    turn (its only one excepted), it makes the words that follow it likelier by
+    ``WORD_GAIN`` nats. Its distribution is smoothed with its parent's by the number of different words
+    that follow; the root's is smoothed with the spelled probability.
 *   Within a spelled word: the bytes before a symbol, back to the blank before
     the word and ``depth`` bytes at most.  A context is a state if it is
     frequent enough and its next symbols diverge from its parent's by a
@@ -16,9 +18,10 @@ Scoring reads each symbol under the longest suffix that is a state; for bytes
 the tree becomes an automaton, so a symbol costs one step.  Every distribution
 sums to one.
 
-Words and word contexts are counted across shards by sorted lists of distinct
-entries, so the network carries an entry once per shard whatever its frequency,
-and spelled probabilities are computed once per distinct word of the corpus.
+Texts become word numbers once. Words and contexts are counted across shards by
+sorted lists of distinct entries, a length of contexts after the other, so the
+network carries an entry once per shard whatever its frequency, and spelled
+probabilities are computed once per distinct word of the corpus.
 """
 
 from __future__ import annotations
@@ -38,7 +41,7 @@ from pyspark.sql import functions as F
 
 from . import common
 from .shingles import mix
-from .suffix_dedup import _list_rows
+from .suffix_dedup import _cut
 
 DEPTH = 5
 #: A state's share of all training symbols is at least this, which bounds the states of a depth by its inverse.
@@ -47,9 +50,11 @@ LEAST_SHARE = 5e-5
 DIVERGENCE = 3.0
 #: Weight of the parent's distribution, in symbols.
 SMOOTHING = 2.0
-#: Nats of entropy that a word context must gain for each different word after it.
+#: Words of the longest context, and how often a context must occur to be one.
+ORDER, LEAST_TIMES = 2, 1
+#: Nats that a word context must gain over its parent.
 WORD_GAIN = 2.0
-#: Weight of the root's distribution in a word context, for each different word after it.
+#: Weight of the parent's distribution in a word context, for each different word after it.
 WORD_SMOOTHING = 3.0
 #: Text bytes in a shard; its arrays take about 20 times as much.
 SHARD_BYTES = 12 << 20
@@ -75,62 +80,127 @@ def held_out(doc_id: int | None) -> bool:
 # --- words ------------------------------------------------------------------
 
 
-_START = (0x51ED270B5F3A9C17, 0x2F8B1D4E6A7C9035)  #: stand for the words before a text
-_NEXT_BITS = 20
+_START = _U((1 << 64) - 1)  #: stands for the word before a text
+
+
+def _numbered(blob: bytes, buckets: int) -> tuple[bytes, bytes]:
+    """The distinct words of a shard by bucket and in order, and its texts as numbers of those words, an end after each text."""
+    ids, known, lens, text = common.unpack_texts(blob)
+    index: dict[bytes, int] = {b"": 0}
+    parts, at = [], 0
+    for n in lens.tolist():
+        ws = tokens(text[at : at + n])
+        at += n
+        for w in set(ws).difference(index):
+            index[w] = len(index)
+        parts.append(np.fromiter(map(index.__getitem__, ws), np.int32, len(ws)))
+        parts.append(np.zeros(1, np.int32))
+    words = list(index)
+    bucket = (np.fromiter(map(xxhash.xxh3_64_intdigest, words), _U, len(words)) % _U(buckets)).astype(np.int64)
+    order = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
+    order = order[np.argsort(bucket[order], kind="stable")]
+    number = np.empty(len(words), np.int32)
+    number[order] = np.arange(len(words), dtype=np.int32)
+    lens = np.fromiter(map(len, parts[::2]), np.int64, len(parts) // 2) + 1
+    numbers = number[np.concatenate(parts)] if parts else np.empty(0, np.int32)
+    return common.zstandard.compress(b" ".join([words[k] for k in order.tolist()]), 1), common.squeeze(ids, known.astype(np.uint8), lens, numbers, np.bincount(bucket, minlength=buckets))
 
 
 class _Shard:
-    """The words of a shard as numbers, an end after each text; 0 is the end."""
+    """The words of a shard as numbers, and what the answers so far say of them."""
 
     def __init__(self, blob: bytes):
-        ids, known, lens, text = common.unpack_texts(blob)
+        ids, known, lens, self.tokens, sizes = common.expand(blob)
         self.numbers = [int(i) if k else None for i, k in zip(ids, known, strict=True)]
         self.train = np.array([not held_out(i) for i in self.numbers], bool)
-        index: dict[bytes, int] = {b"": 0}
-        parts, at = [], 0
-        for n in lens.tolist():
-            ws = tokens(text[at : at + n])
-            at += n
-            for w in set(ws).difference(index):
-                index[w] = len(index)
-            parts.append(np.fromiter(map(index.__getitem__, ws), np.int32, len(ws)))
-            parts.append(np.zeros(1, np.int32))
-        self.words = list(index)
-        self.tokens = np.concatenate(parts) if parts else np.empty(0, np.int32)
-        self.ends = np.flatnonzero(self.tokens == 0)
-        self.starts = np.concatenate(([0], self.ends[:-1] + 1)) if len(self.ends) else np.empty(0, np.int64)
-        self.trains = np.repeat(self.train, self.ends - self.starts + 1)
-        self.hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.words), _U, len(self.words))
-
-    def by_bucket(self, buckets: int) -> list[tuple[list[bytes], np.ndarray]]:
-        """Words in order and their numbers, by bucket."""
-        split: list[list[int]] = [[] for _ in range(buckets)]
-        for k, b in enumerate((self.hashes % _U(buckets)).tolist()):
-            split[b].append(k)
-        out = []
-        for numbers in split:
-            numbers.sort(key=self.words.__getitem__)
-            out.append(([self.words[k] for k in numbers], np.array(numbers, np.int64)))
-        return out
+        self.ends = np.cumsum(lens) - 1
+        self.starts = self.ends - lens + 1
+        self.trains = np.repeat(self.train, lens)
+        #: Where the words of each bucket begin and end.
+        self.cut = np.concatenate(([0], np.cumsum(sizes)))
 
     def counts(self) -> np.ndarray:
-        return np.bincount(self.tokens[self.trains], minlength=len(self.words))
-
-    def contexts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Hashes of the distinct pairs of a context and the word after it, sorted, their training counts, and the pair of each token."""
-        h = self.hashes[self.tokens]
-        one, two = np.empty_like(h), np.empty_like(h)
-        one[1:], two[2:] = h[:-1], h[:-2]
-        one[self.starts] = two[self.starts] = _U(_START[0])
-        second = self.starts[self.starts < self.ends] + 1
-        two[second] = _U(_START[1])
-        before = mix(one * _U(0xC2B2AE3D27D4EB4F) + two)
-        order = np.lexsort((h, before))
-        before, h = before[order], h[order]
-        head = np.concatenate(([True], (before[1:] != before[:-1]) | (h[1:] != h[:-1]))) if len(h) else np.empty(0, bool)
-        pair = np.empty(len(h), np.int64)
-        pair[order] = np.cumsum(head) - 1
-        return before[head], h[head], np.bincount(pair[self.trains], minlength=int(head.sum())).astype(np.uint32), pair
+        return np.bincount(self.tokens[self.trains], minlength=int(self.cut[-1]))
+
+    def read(self, rows: list[dict], order: int) -> tuple[_Contexts, np.ndarray, np.ndarray]:
+        """The contexts of ``order`` words, by the answers on shorter ones; each token's log10 probability under the longest state by then, and each word's count."""
+        count, root, name = np.zeros(int(self.cut[-1]), np.int64), np.zeros(int(self.cut[-1])), np.zeros(int(self.cut[-1]), _U)
+        for r in rows:
+            if r["kind"] == 0:
+                a, z = self.cut[r["bucket"]], self.cut[r["bucket"] + 1]
+                count[a:z], root[a:z], name[a:z] = common.expand(r["blob"])
+                name[a:z] |= _U(r["bucket"]) << _U(32)
+        p = root[self.tokens]
+        found = _Contexts.of_one(self, name, count)
+        for k in range(1, order):
+            found = found.longer(found.apply([r for r in rows if r["kind"] == k], p))
+        return found, p, count
+
+
+class _Contexts:
+    """The distinct pairs of a context of one length and the word after it, in order of the contexts, and the pair of each token that has one."""
+
+    def __init__(self, own: _Shard, name: np.ndarray, context: np.ndarray, key: np.ndarray):
+        """``context`` is each token's, a number of ``key``, or -1."""
+        self.own, self.name = own, name
+        self.at = np.flatnonzero(context >= 0)
+        # Contexts are dealt by their keys, so they come in that order.
+        order = np.argsort(key)
+        rank = np.empty(len(key), np.int64)
+        rank[order] = np.arange(len(key))
+        code = rank[context[self.at]] << 32 | own.tokens[self.at]
+        by = np.argsort(code)
+        ranked = code[by]
+        head = np.concatenate(([True], ranked[1:] != ranked[:-1])) if len(ranked) else np.empty(0, bool)
+        self.pair = np.empty(len(by), np.int64)
+        self.pair[by] = np.cumsum(head) - 1
+        self.first = self.at[by[head]]  #: a token of each pair
+        of = ranked[head] >> 32
+        self.runs = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1]))) if len(of) else np.empty(0, np.int64)
+        self.key = key[order][of[self.runs]]
+        self.lens = np.diff(np.append(self.runs, len(of)))
+        self.after = name[own.tokens[self.first]]
+        self.times = np.bincount(self.pair[own.trains[self.at]], minlength=len(self.first)).astype(np.uint32)
+
+    @classmethod
+    def of_one(cls, own: _Shard, name: np.ndarray, count: np.ndarray) -> _Contexts:
+        context = np.full(len(own.tokens), -1, np.int64)
+        context[1:] = own.tokens[:-1]
+        context[own.starts] = len(name)
+        often = np.append(count >= LEAST_TIMES, True)
+        return cls(own, name, np.where(often[context], context, -1), mix(np.append(name, _START)))
+
+    def longer(self, count: np.ndarray) -> _Contexts:
+        """Contexts of one word more: a pair that occurs often enough is the context of what follows."""
+        pair = np.full(len(self.own.tokens), -1, np.int64)
+        pair[self.at] = np.where(count[self.pair] >= LEAST_TIMES, self.pair, -1)
+        context = np.full(len(pair), -1, np.int64)
+        context[1:] = pair[:-1]
+        context[self.own.starts] = -1
+        return _Contexts(self.own, self.name, context, mix(np.repeat(self.key, self.lens) * _U(0xC2B2AE3D27D4EB4F) + mix(self.after)))
+
+    def lists(self, shard: int, buckets: int, p: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The pairs by bucket: contexts, how many words follow each, the words, their counts, and log10 probabilities under the parent, to three digits."""
+        cut, ends = _cut(self.key, buckets), np.append(self.runs, len(self.first))
+        parent = p[self.first].astype(np.float16)
+        blobs, numbers = [], []
+        for b in np.flatnonzero(np.diff(cut)):
+            a, z = ends[cut[b]], ends[cut[b + 1]]
+            numbers.append(int(b))
+            blobs.append(common.squeeze(self.key[cut[b] : cut[b + 1]], self.lens[cut[b] : cut[b + 1]], self.after[a:z], self.times[a:z], parent[a:z]))
+        yield common.table(_ROWS, shard=[shard] * len(blobs), bucket=numbers, blob=blobs)
+
+    def apply(self, rows: list[dict], p: np.ndarray) -> np.ndarray:
+        """Take the answers into ``p``; the count of each pair."""
+        parts = [common.expand(r["blob"]) for r in sorted(rows, key=lambda r: r["bucket"])]
+        c, n, types = (np.concatenate([x[k] for x in parts]) if parts else np.empty(0, np.int64) for k in range(3))
+        if len(c) != len(self.first) or len(n) != len(self.key):
+            raise RuntimeError("an answer is missing")
+        n, weight = np.repeat(n, self.lens), np.repeat(types, self.lens) * WORD_SMOOTHING
+        state = n[self.pair] > 0
+        at, of = self.at[state], self.pair[state]
+        p[at] = log_add(c[of], np.log10(weight[of]) + p[at]) - np.log10(n[of] + weight[of])
+        return c
 
 
 def _words_blob(words: list[bytes], *columns: np.ndarray) -> bytes:
@@ -189,8 +259,7 @@ def _merge_words(depth: int):
         for shard, own in zip(pdf["shard"], lists, strict=True):
             rows.append((shard, bucket, common.squeeze(np.fromiter(map(number.__getitem__, own), np.uint32, len(own)))))
         known = counts > 0
-        spread = (counts[known] * np.log(counts[known])).sum()
-        rows.append((-3, bucket, common.squeeze(np.array([counts.sum(), known.sum(), total.get(b"", 0)], np.int64), np.array([spread]))))
+        rows.append((-3, bucket, common.squeeze(np.array([counts.sum(), known.sum(), total.get(b"", 0)], np.int64))))
         return pd.DataFrame(rows, columns=["shard", "bucket", "blob"])
 
     return run
@@ -314,39 +383,42 @@ def _frequent(grams: DataFrame, depth: int, least_share: float) -> dict[bytes, d
 # --- scores ---------------------------------------------------------------------
 
 
-def score(docs: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE, divergence: float = DIVERGENCE, smoothing: float = SMOOTHING) -> DataFrame:
+def score(docs: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE, divergence: float = DIVERGENCE, smoothing: float = SMOOTHING, order: int = ORDER) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
     Rows whose ``crc32`` of the number as text leaves 2 modulo 7 are held out;
     the others train, all of them. Null texts are empty and have an end only;
     a null ``doc_id`` trains. Repeated rows count each time. If nothing trains,
-    the tree is its root and symbols are equally likely. Other columns aren't read.
+    the tree is its root and symbols are equally likely. No text is too long: it
+    lies in one shard. Other columns aren't read.
     """
     packed = common.pack(docs, "lm-shards", SHARD_BYTES)
     size = packed.agg(F.sum(F.length("docs"))).first()[0] or 0
     buckets = max(1, round(size * 2.5 / 40 / WORDS_A_BUCKET), min(8, size >> 20))
     context_buckets = max(1, round(size * 2.5 / 6 / CONTEXTS_A_BUCKET), min(8, size >> 20))
 
-    def list_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, blob in common.each_shard(batches):
-            own = _Shard(blob)
-            counts = own.counts()
-            for b, (words, numbers) in enumerate(own.by_bucket(buckets)):
-                if words:
-                    yield common.table(_ROWS, shard=[shard], bucket=[b], blob=[_words_blob(words, counts[numbers].astype(np.uint32))])
+            words, docs = _numbered(blob, buckets)
+            yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int64()), "words": pa.array([words], pa.binary()), "docs": pa.array([docs], pa.binary())})
 
-    def list_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard, blob in common.each_shard(batches):
-            before, after, counts, _ = _Shard(blob).contexts()
-            yield from _list_rows(shard, context_buckets, before, after, counts)
+    numbered = common.materialize(packed.mapInArrow(number, "shard long, words binary, docs binary"), "lm-numbers")
+    common.discard(packed)
 
-    merged = common.materialize(packed.mapInArrow(list_words, _ROWS_SQL).groupBy("bucket").applyInPandas(_merge_words(depth), _ROWS_SQL), "lm-words")
+    def list_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard, blob, docs in common.each_shard(batches):
+            own, words = _Shard(docs), common.zstandard.decompress(blob).split(b" ")
+            counts = own.counts().astype(np.uint32)
+            for b in np.flatnonzero(np.diff(own.cut)).tolist():
+                a, z = own.cut[b], own.cut[b + 1]
+                yield common.table(_ROWS, shard=[shard], bucket=[b], blob=[_words_blob(words[a:z], counts[a:z])])
 
-    n_tokens, n_types, n_ends, spread = 0, 0, 0, 0.0
+    merged = common.materialize(numbered.mapInArrow(list_words, _ROWS_SQL).groupBy("bucket").applyInPandas(_merge_words(depth), _ROWS_SQL), "lm-words")
+
+    n_tokens, n_types, n_ends = 0, 0, 0
     for row in merged.where("shard = -3").select("blob").toLocalIterator():
-        (a, b, c), (d,) = (x.tolist() for x in common.expand(bytes(row.blob)))
-        n_tokens, n_types, n_ends, spread = n_tokens + a, n_types + b, n_ends + c, spread + d
-    entropy = math.log(n_tokens) - spread / n_tokens if n_tokens else 0.0
+        a, b, c = common.expand(bytes(row.blob))[0].tolist()
+        n_tokens, n_types, n_ends = n_tokens + a, n_types + b, n_ends + c
 
     def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -375,44 +447,43 @@ def score(docs: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE,
         rows = []
         for shard, blob in blobs.items():
             (number,) = common.expand(blob)
-            rows.append((shard, int(pdf["bucket"].iloc[0]), common.squeeze(count[number], spelled[number].astype(np.float32))))
+            rows.append((shard, int(pdf["bucket"].iloc[0]), common.squeeze(count[number], spelled[number].astype(np.float32), number)))
         return pd.DataFrame(rows, columns=["shard", "bucket", "blob"])
 
     def answer_contexts(pdf: pd.DataFrame) -> pd.DataFrame:
         common.tidy()
-        return pd.DataFrame({"shard": pdf["shard"], "bucket": pdf["bucket"], "blob": [common.squeeze(*x) for x in merge_pairs([tuple(common.expand(b)) for b in pdf["blob"]], entropy)]})
+        return pd.DataFrame({"shard": pdf["shard"], "bucket": pdf["bucket"], "blob": [common.squeeze(*x) for x in merge_contexts([tuple(common.expand(b)) for b in pdf["blob"]])]})
+
+    def with_answers(answers: list[DataFrame]) -> DataFrame:
+        every = answers[0]
+        for a in answers[1:]:
+            every = every.unionByName(a)
+        by_shard = every.groupBy("shard").agg(F.collect_list(F.struct("kind", "bucket", "blob")).alias("rows"))
+        return numbered.join(by_shard, "shard").select("shard", "docs", "rows")
+
+    def answered(answers: list[DataFrame], length: int) -> DataFrame:
+        def list_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for shard, docs, rows in common.each_shard(batches):
+                found, p, _ = _Shard(docs).read(rows, length)
+                yield from found.lists(shard, context_buckets, p)
 
-    def answered() -> DataFrame:
-        words = merged.where("shard >= -1").groupBy("bucket").applyInPandas(answer, _ROWS_SQL).withColumn("kind", F.lit("w"))
-        contexts = packed.mapInArrow(list_contexts, _ROWS_SQL).groupBy("bucket").applyInPandas(answer_contexts, _ROWS_SQL).withColumn("kind", F.lit("c"))
-        return common.materialize(words.unionByName(contexts), "lm-answers")
+        lists = with_answers(answers).mapInArrow(list_contexts, _ROWS_SQL)
+        return common.materialize(lists.groupBy("bucket").applyInPandas(answer_contexts, _ROWS_SQL).withColumn("kind", F.lit(length)), "lm-answers")
 
-    answers = answered()
+    answers = [common.materialize(merged.where("shard >= -1").groupBy("bucket").applyInPandas(answer, _ROWS_SQL).withColumn("kind", F.lit(0)), "lm-answers")]
     common.discard(merged)
+    for length in range(1, order + 1):
+        common.release(docs.sparkSession)
+        answers.append(answered(answers, length))
     common.release(docs.sparkSession)
-    by_shard = answers.groupBy("shard").agg(F.collect_list(F.struct("kind", "bucket", "blob")).alias("rows"))
     floor = math.log10(n_tokens + n_types + 1)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for blob, rows in common.each_shard(batches):
             own = _Shard(blob)
-            split = own.by_bucket(buckets)
-            count, lp = np.zeros(len(own.words), np.int64), np.zeros(len(own.words))
-            for r in rows:
-                if r["kind"] == "w":
-                    numbers = split[r["bucket"]][1]
-                    count[numbers], lp[numbers] = common.expand(r["blob"])
-            del split
-            parts = [common.expand(r["blob"]) for r in sorted((r for r in rows if r["kind"] == "c"), key=lambda r: r["bucket"])]
-            keys, _, _, pair = own.contexts()
-            if sum(len(p[0]) for p in parts) != len(keys):
-                raise RuntimeError("an answer is missing")
-            c, n, types = (np.concatenate([p[k] for p in parts]) for k in range(3))
-            word = lp[own.tokens]
-            state = n[pair] > 0
-            of = pair[state]
-            weight = WORD_SMOOTHING * types[of]
-            word[state] = log_add(c[of], np.log10(weight) + word[state]) - np.log10(n[of] + weight)
+            found, word, count = own.read(rows, order)
+            if order:
+                found.apply([r for r in rows if r["kind"] == order], word)
             sums = lambda x: np.add.reduceat(x, own.starts) if len(own.starts) else np.empty(0)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": pa.array(own.numbers, pa.int64()), "held_out": pa.array(~own.train), "n_tokens": pa.array(own.ends - own.starts + 1, pa.int64()),
@@ -420,51 +491,32 @@ def score(docs: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE,
                 "base_score": pa.array(sums((np.log10(count + 1.0) - floor)[own.tokens]), pa.float64()), "score": pa.array(sums(word), pa.float64()),
             })
 
-    return packed.join(by_shard, "shard").select("docs", "rows").mapInArrow(add_up, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return with_answers(answers).select("docs", "rows").mapInArrow(add_up, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def merge_pairs(lists: list[tuple[np.ndarray, np.ndarray, np.ndarray]], entropy: float) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each list of pairs (context, next word, count): the pair's count, its context's and the number of different words after it; 0 if the context is no state."""
-    before, after, counts = (np.concatenate([x[k] for x in lists]) for k in range(3))
+def merge_contexts(lists: list[tuple[np.ndarray, ...]]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each list (contexts, how many words follow each, words, counts, log10 under the parent) the count of each pair, and of each context the count and the number of different words after it; 0 if the context is no state."""
+    before = np.concatenate([np.repeat(x[0], x[1]) for x in lists])
+    after, counts, parent = (np.concatenate([x[k] for x in lists]) for k in (2, 3, 4))
     order = np.lexsort((after, before))
     before, after = before[order], after[order]
     new = np.concatenate(([True], before[1:] != before[:-1]))
     first = new | np.concatenate(([True], after[1:] != after[:-1]))
     place = np.empty(len(order), np.int64)
     place[order] = np.cumsum(first) - 1
-    count = np.add.reduceat(counts[order].astype(np.int64), np.flatnonzero(first))
-    head = np.flatnonzero(new[first])
-    of = np.cumsum(new[first]) - 1
+    spots = np.flatnonzero(first)
+    count, log_p = np.add.reduceat(counts[order].astype(np.int64), spots), parent[order[spots]].astype(float) * math.log(10)
+    head, of = np.flatnonzero(new[first]), np.cumsum(new[first]) - 1
     n, types = np.add.reduceat(count, head), np.add.reduceat((count > 0).astype(np.int64), head)
-    own = np.add.reduceat(np.where(count > 0, count * np.log(np.maximum(count, 1)), 0.0), head)
-    gain = n * entropy - (n * np.log(np.maximum(n, 1)) - own)
-    state = (n > 0) & (gain >= WORD_GAIN * types)
-    out = [np.where(state[of], x, 0) for x in (count, n[of], types[of])]
-    ends = np.cumsum([len(x[0]) for x in lists])[:-1]
-    return list(zip(*(np.split(x[place], ends) for x in out), strict=True))
-
-
-def merge_contexts(lists: list[tuple[np.ndarray, np.ndarray]], entropy: float) -> list[np.ndarray]:
-    """``merge_pairs`` in a packed form that the scores don't use. For each list of pairs: the pair's count, its context's and the number of different words after it, in one number; 0 if the context is no state.
-
-    Counts share out 64 bits as 24, 24 and 16; a context with more is scaled
-    down to fit, and its rare words may get no count.
-    """
-    keys = np.unique(np.concatenate([x[0] for x in lists]))
-    places = [np.searchsorted(keys, x[0]) for x in lists]
-    count = np.zeros(len(keys), np.int64)
-    for at, (_, c) in zip(places, lists, strict=True):
-        count[at] += c
-    context = keys >> _U(_NEXT_BITS)
-    head = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1])))
-    of = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(keys))))
-    n, types = np.add.reduceat(count, head), np.add.reduceat((count > 0).astype(np.int64), head)
-    own = np.add.reduceat(np.where(count > 0, count * np.log(np.maximum(count, 1)), 0.0), head)
-    gain = n * entropy - (n * np.log(np.maximum(n, 1)) - own)
-    state = (n > 0) & (gain >= WORD_GAIN * types)
-    scale = np.maximum(1.0, np.maximum(n / ((1 << 24) - 1), types / ((1 << 16) - 1)))
-    fit = lambda x, g: np.floor(x / scale[g]).astype(_U)
-    whole = np.arange(len(head))
-    out = (fit(count, of) << _U(40)) | (fit(n, whole)[of] << _U(16)) | np.maximum(fit(types, whole), _U(1))[of]
-    out[~state[of]] = 0
-    return [out[at] for at in places]
+    # With one occurrence of the word left out, a word that came once is new to the context; a context's only occurrence stays.
+    seen = np.flatnonzero((count > 0) & (n[of] >= LEAST_TIMES))
+    out_of = n[of[seen]] > 1
+    c, weight = count[seen], WORD_SMOOTHING * (types[of[seen]] - (out_of & (count[seen] == 1)))
+    with np.errstate(divide="ignore"):
+        gained = c * (np.logaddexp(np.log(c - out_of), np.log(weight) + log_p[seen]) - log_p[seen] - np.log(n[of[seen]] - out_of + weight))
+    state = np.bincount(of[seen], gained, minlength=len(head)) >= WORD_GAIN
+    out = []
+    for (context, lens, *_), own in zip(lists, np.split(place, np.cumsum([len(x[2]) for x in lists])[:-1]), strict=True):
+        its = of[own[np.cumsum(lens) - lens]] if len(context) else np.empty(0, np.int64)
+        out.append((count[own], np.where(state, n, 0)[its], np.where(state, types, 0)[its]))
+    return out

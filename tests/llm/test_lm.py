@@ -81,12 +81,71 @@ def test_spelling_in_batches():
 
 
 def test_merged_contexts():
-    key = lambda c, w: np.uint64(c << 20 | w)
-    one = (np.array([key(1, 1), key(1, 2), key(9, 9)]), np.array([3, 0, 1], np.uint32))
-    two = (np.array([key(1, 1), key(5, 1)]), np.array([2, 0], np.uint32))
-    a, b = lm.merge_contexts([one, two], 5.0)
-    unpack = lambda x: (int(x) >> 40, int(x) >> 16 & (1 << 24) - 1, int(x) & 0xFFFF)
-    assert unpack(a[0]) == (5, 5, 1) == unpack(b[0]) and unpack(a[1]) == (0, 5, 1) and unpack(a[2]) == (1, 1, 1) and int(b[1]) == 0
+    numbers = lambda *x: np.array(x, np.uint64)
+    unlikely = lambda n: np.full(n, -4, np.float16)
+    one = (numbers(1, 9), np.array([2, 1]), numbers(1, 2, 9), np.array([3, 0, 1], np.uint32), unlikely(3))
+    two = (numbers(1, 5), np.array([1, 1]), numbers(1, 1), np.array([2, 0], np.uint32), unlikely(2))
+    (c, n, types), (d, m, kinds) = lm.merge_contexts([one, two])
+    assert c.tolist() == [5, 0, 1] and n.tolist() == [5, 1] and types.tolist() == [1, 1]
+    assert d.tolist() == [5, 0] and m.tolist() == [5, 0] and kinds.tolist() == [1, 0]
+
+
+def plain_tree(texts, order, root):
+    """Log10 scores by a tree of word contexts, as the definition has it; ``root`` gives a word's probability without context."""
+    train = [["<", *t, None] for t in texts["train"]]
+    follow = {}
+    for t in train:
+        for i in range(1, len(t)):
+            for k in range(1, min(order, i) + 1):
+                follow.setdefault(tuple(t[i - k : i]), Counter())[t[i]] += 1
+    states = {}
+
+    def p(context, w):
+        for k in range(len(context), 0, -1):
+            if (s := context[-k:]) in states:
+                own, n = follow[s], sum(follow[s].values())
+                weight = lm.WORD_SMOOTHING * len(own)
+                return (own[w] + weight * p(s[1:], w)) / (n + weight)
+        return root(w)
+
+    for s in sorted(follow, key=len):
+        own, n = follow[s], sum(follow[s].values())
+        if n < lm.LEAST_TIMES:
+            continue
+        gain = 0
+        for w, c in own.items():
+            up = p(s[1:], w)
+            left = int(n > 1)
+            weight = lm.WORD_SMOOTHING * (len(own) - (c == 1) * left)
+            gain += c * math.log((c - left + weight * up) / (n - left + weight) / up)
+        if gain >= lm.WORD_GAIN:
+            states[s] = True
+    score = lambda t: sum(math.log10(p(tuple(t[max(0, i - order) : i]), t[i])) for i in range(1, len(t)))
+    return {i: score(["<", *t, None]) for i, t in texts["all"].items()}, states
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_scores_against_a_plain_tree(docs, order):
+    rng = random.Random(4)
+    words = [f"w{k}" for k in range(60)]
+    chain = {w: rng.choices(words, k=3) for w in words}
+    texts = {}
+    for i in range(150):
+        t = [rng.choice(words)]
+        for _ in range(rng.randint(0, 30)):
+            t.append(rng.choice(chain[t[-1]]) if rng.random() < 0.8 else rng.choice(words))
+        texts[i] = t
+    train = [t for i, t in texts.items() if not lm.held_out(i)]
+    # Held-out texts of one word tell the root's probabilities, by scores without contexts.
+    free = [i for i in range(150, 5000) if lm.held_out(i)]
+    texts |= dict(zip(free, [[], *([w] for w in words)], strict=False))
+    rows = [(i, " ".join(t)) for i, t in texts.items()]
+    bare = {r.doc_id: r.score for r in lm.score(docs(rows), order=0).collect()}
+    root = {None: 10 ** bare[free[0]]} | {w: 10 ** (bare[i] - bare[free[0]]) for i, w in zip(free[1:], words, strict=False)}
+    got = {r.doc_id: r.score for r in lm.score(docs(rows, partitions=4), order=order).collect()}
+    want, states = plain_tree({"train": train, "all": texts}, order, root.__getitem__)
+    assert any(len(s) == order for s in states)
+    assert got == pytest.approx(want, abs=0.02)
 
 
 def test_long_unknown_words_have_a_score(docs):
@@ -105,7 +164,8 @@ def test_large_contexts_keep_rare_words():
     counts = np.ones(len(words), np.uint32)
     counts[7] = 30_000_000
     unseen = np.unique(rng.integers(0, 2**63, 5000).astype(np.uint64))
-    context = lambda k: np.full(k, 5, np.uint64)
-    (c, n, types), (d, m, _) = lm.merge_pairs([(context(len(words)), words, counts), (context(len(unseen)), unseen, np.zeros(len(unseen), np.uint32))], 50.0)
+    context = np.array([5], np.uint64)
+    ask = lambda w, c: (context, np.array([len(w)]), w, c, np.full(len(w), -6, np.float16))
+    (c, n, types), (d, m, _) = lm.merge_contexts([ask(words, counts), ask(unseen, np.zeros(len(unseen), np.uint32))])
     assert (c == counts).all() and (n == counts.sum(dtype=np.int64)).all() and (types == len(words)).all()
     assert (d == 0).all() and (m == n[0]).all()
