@@ -143,40 +143,43 @@ class _Contexts:
     def __init__(self, own: _Shard, name: np.ndarray, context: np.ndarray, key: np.ndarray):
         """``context`` is each token's, a number of ``key``, or -1."""
         self.own, self.name = own, name
-        self.at = np.flatnonzero(context >= 0)
+        self.at = np.flatnonzero(context >= 0).astype(np.int32)
         # Contexts are dealt by their keys, so they come in that order.
         order = np.argsort(key)
         rank = np.empty(len(key), np.int64)
         rank[order] = np.arange(len(key))
         code = rank[context[self.at]] << 32 | own.tokens[self.at]
+        del order, rank, context
         by = np.argsort(code)
         ranked = code[by]
+        del code
         head = np.concatenate(([True], ranked[1:] != ranked[:-1])) if len(ranked) else np.empty(0, bool)
-        self.pair = np.empty(len(by), np.int64)
-        self.pair[by] = np.cumsum(head) - 1
+        self.pair = np.empty(len(by), np.int32)
+        self.pair[by] = np.cumsum(head, dtype=np.int32) - 1
         self.first = self.at[by[head]]  #: a token of each pair
-        of = ranked[head] >> 32
+        of = (ranked[head] >> 32).astype(np.int32)
+        del by, ranked, head
         self.runs = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1]))) if len(of) else np.empty(0, np.int64)
-        self.key = key[order][of[self.runs]]
+        self.key = np.sort(key)[of[self.runs]]
         self.lens = np.diff(np.append(self.runs, len(of)))
         self.after = name[own.tokens[self.first]]
         self.times = np.bincount(self.pair[own.trains[self.at]], minlength=len(self.first)).astype(np.uint32)
 
     @classmethod
     def of_one(cls, own: _Shard, name: np.ndarray, count: np.ndarray) -> _Contexts:
-        context = np.full(len(own.tokens), -1, np.int64)
+        context = np.full(len(own.tokens), -1, np.int32)
         context[1:] = own.tokens[:-1]
         context[own.starts] = len(name)
         often = np.append(count >= LEAST_TIMES, True)
-        return cls(own, name, np.where(often[context], context, -1), mix(np.append(name, _START)))
+        return cls(own, name, np.where(often[context], context, np.int32(-1)), mix(np.append(name, _START)))
 
     def longer(self, count: np.ndarray) -> _Contexts:
         """Contexts of one word more: a pair that occurs often enough is the context of what follows."""
-        pair = np.full(len(self.own.tokens), -1, np.int64)
-        pair[self.at] = np.where(count[self.pair] >= LEAST_TIMES, self.pair, -1)
-        context = np.full(len(pair), -1, np.int64)
-        context[1:] = pair[:-1]
+        context = np.full(len(self.own.tokens) + 1, -1, np.int32)
+        context[self.at + 1] = np.where(count[self.pair] >= LEAST_TIMES, self.pair, np.int32(-1))
+        context = context[:-1]
         context[self.own.starts] = -1
+        del self.at, self.pair, self.first
         return _Contexts(self.own, self.name, context, mix(np.repeat(self.key, self.lens) * _U(0xC2B2AE3D27D4EB4F) + mix(self.after)))
 
     def lists(self, shard: int, buckets: int, p: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -196,10 +199,14 @@ class _Contexts:
         c, n, types = (np.concatenate([x[k] for x in parts]) if parts else np.empty(0, np.int64) for k in range(3))
         if len(c) != len(self.first) or len(n) != len(self.key):
             raise RuntimeError("an answer is missing")
-        n, weight = np.repeat(n, self.lens), np.repeat(types, self.lens) * WORD_SMOOTHING
-        state = n[self.pair] > 0
-        at, of = self.at[state], self.pair[state]
-        p[at] = log_add(c[of], np.log10(weight[of]) + p[at]) - np.log10(n[of] + weight[of])
+        run = np.repeat(np.arange(len(n), dtype=np.int32), self.lens)
+        # In slices, for the temporary arrays.
+        for a in range(0, len(self.at), 1 << 18):
+            at, of = self.at[a : a + (1 << 18)], self.pair[a : a + (1 << 18)]
+            state = n[run[of]] > 0
+            at, of = at[state], of[state]
+            weight = types[run[of]] * WORD_SMOOTHING
+            p[at] = log_add(c[of], np.log10(weight) + p[at]) - np.log10(n[run[of]] + weight)
         return c
 
 
