@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, packing, quality_rules, secret_scan, sharding, substring_dedup, suffix_dedup, suffix_tree_lm, toxicity
+from . import basket_itemsets, decontaminate, jaccard_join, packing, quality_rules, secret_scan, sharding, substring_dedup, suffix_dedup, suffix_tree_lm, toxicity
 from .sql import SQL  # noqa: F401
 
 
@@ -58,7 +58,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_policy(quality_rules.ledger(_table(spark, sf_dir, "documents"))).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_bits")
 
 
+def op11_basket_itemsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return basket_itemsets.digest(basket_itemsets.itemsets(_table(spark, sf_dir, "sale_lines")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_suffix_array_dedup, op2_substring_dedup, op3_ngram_jaccard_join, op4_sharding, op5_suffix_tree_lm, op6_secret_scan, op7_decontaminate, op8_best_fit_packing, op9_toxicity, op10_quality_rules)
+    for f in (op1_suffix_array_dedup, op2_substring_dedup, op3_ngram_jaccard_join, op4_sharding, op5_suffix_tree_lm, op6_secret_scan, op7_decontaminate, op8_best_fit_packing, op9_toxicity, op10_quality_rules, op11_basket_itemsets)
 }

@@ -90,6 +90,25 @@ o AS (SELECT doc_id, {counts}, coalesce(string_agg(span, ',' ORDER BY a, no) FIL
 SELECT doc_id, {zeros}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN o USING (doc_id)"""
 
 
+# Grown item by item from lists of baskets, with no inference: another way than the operator's.
+BASKET_ITEMSETS = """
+WITH RECURSIVE rows AS (SELECT DISTINCT sale_id AS b, item_id AS i FROM sale_lines WHERE flag IS DISTINCT FROM 'returned' AND sale_id IS NOT NULL AND item_id IS NOT NULL),
+t AS (SELECT count(DISTINCT b) AS total FROM rows),
+one AS (SELECT i, count(*) AS s, list(b ORDER BY b) AS bs FROM rows GROUP BY i HAVING count(*) >= 12 AND count(*) * 10000 >= (SELECT total FROM t)),
+two AS (SELECT x.i AS i, y.i AS j FROM rows x JOIN rows y ON x.b = y.b AND x.i < y.i GROUP BY ALL HAVING count(*) >= 12 AND count(*) * 10000 >= (SELECT total FROM t)),
+grown AS (SELECT [i] AS items, i AS last, bs FROM one
+  UNION ALL SELECT items, last, bs FROM (SELECT list_append(g.items, two.j) AS items, two.j AS last, list_intersect(g.bs, one.bs) AS bs FROM grown g JOIN two ON two.i = g.last JOIN one ON one.i = two.j)
+  WHERE len(bs) >= 12 AND len(bs) * 10000 >= (SELECT total FROM t)),
+sets AS (SELECT items, CAST(len(bs) AS BIGINT) AS support FROM grown),
+parts AS (SELECT items, support, items[k] AS c, list_concat(items[:k - 1], items[k + 1:]) AS rest FROM sets, LATERAL (SELECT unnest(range(1, len(items) + 1)) AS k) WHERE len(items) > 1),
+shut AS (SELECT items, support FROM sets WHERE NOT EXISTS (SELECT 1 FROM parts p WHERE p.rest = sets.items AND p.support = sets.support)),
+ruled AS (SELECT p.items, p.c, r.support AS a, one.s FROM parts p JOIN shut USING (items) JOIN sets r ON r.items = p.rest JOIN one ON one.i = p.c, t
+  WHERE 100 * p.support >= 30 * r.support AND p.support * t.total > r.support * one.s),
+summed AS (SELECT items, count(*) AS n_rules, arg_min(c, [a, c]) AS best_item, string_agg(c || ':' || a || ':' || s, ';' ORDER BY c) AS told FROM ruled GROUP BY items)
+SELECT array_to_string(shut.items, ',') AS items, CAST(len(shut.items) AS BIGINT) AS n_items, shut.support, CAST(coalesce(n_rules, 0) AS BIGINT) AS n_rules, best_item, sha256(coalesce(told, '')) AS rules_sha256
+FROM shut LEFT JOIN summed ON summed.items = shut.items"""
+
+
 SQL = {
     "op1_suffix_array_dedup": SUFFIX_DEDUP,
     "op3_ngram_jaccard_join": JACCARD_JOIN,
@@ -97,4 +116,5 @@ SQL = {
     "op6_secret_scan": _secrets(),
     "op7_decontaminate": DECONTAMINATE,
     "op10_quality_rules": _quality(),
+    "op11_basket_itemsets": BASKET_ITEMSETS,
 }
