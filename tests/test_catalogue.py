@@ -11,7 +11,7 @@ import pytest
 import __spark_entry__
 from corvidex.plans import catalogue
 
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations clicks sales sale_lines clients client_changes vendors items stamps".split()
 
 
 def rows(df: pd.DataFrame) -> list[tuple]:
