@@ -25,6 +25,7 @@ class SecretRule:
     least: int  #: code points of that group
     hint: str  #: SQL over ``text``: false only if nothing can match
     base: bool = True
+    sql: str | None = None  #: the same for engines without look-ahead and possessive repeats
 
 
 #: Rules in the order in which kinds are listed.
@@ -34,14 +35,17 @@ RULES = (
     SecretRule("access", r"(AKIA[A-Z0-9]{16,})", 1, 20, "contains(text, 'AKIA')"),
     SecretRule("hex", r"([0-9a-f]{24,})", 1, 24, "text RLIKE '[0-9a-f]{24}'"),
     SecretRule("jwt", r"(eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*)", 1, 20, "contains(text, 'eyJ')", False),
-    # Through the end line; without one, through the lines of base64 that follow.
-    SecretRule("private_key", r"(-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*+(?:-(?!----)[^-]*+){0,64}-----END [A-Z ]*PRIVATE KEY-----|(?:\s+[A-Za-z0-9+/=]{32,}+)*+(?:\s+[A-Za-z0-9+/]+={1,2})?))", 1, 20, "contains(text, '-----BEGIN ')", False),
+    # Through the end line; without one, through the lines of base64 that follow. A possessive repeat of a group takes no stack, however long the key.
+    SecretRule(
+        "private_key", r"(-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*+(?:-(?!----)[^-]*+)*+-----END [A-Z ]*PRIVATE KEY-----|(?:[\t-\r ]+[A-Za-z0-9+/=]{32,}+)*+(?:[\t-\r ]+[A-Za-z0-9+/]+={1,2})?))", 1, 20, "contains(text, '-----BEGIN ')", False,
+        r"(-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*(?:-{1,4}[^-]+)*-----END [A-Z ]*PRIVATE KEY-----|(?:[\t-\r ]+[A-Za-z0-9+/=]{32,})*(?:[\t-\r ]+[A-Za-z0-9+/]+={1,2})?))",
+    ),
     SecretRule("forge", r"(gh[opsur]_[A-Za-z0-9]{30,})", 1, 34, "contains(text, 'gh')", False),
     SecretRule("url_login", r"([a-z][a-z0-9+.-]{1,20}://[^\s/:@]{1,64}:[^\s/@]{3,128}@)", 1, 8, "contains(text, '://')", False),
 )
 
 #: Goes up with every change of RULES.
-RULE_VERSION = 2
+RULE_VERSION = 3
 
 LEDGER = "blob string, rule_version int, findings array<struct<start:long,kind_no:int,end:long,kind:string>>"
 

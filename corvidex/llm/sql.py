@@ -71,7 +71,7 @@ def _secrets() -> str:
     spell = lambda w: "".join(c if not c.isalpha() else f"[{c}{c.upper()}]" for c in w)
     parts = []
     for no, r in enumerate(SECRETS):
-        p = r.pattern
+        p = r.sql or r.pattern
         if "(?i:" in p:
             inner = p[p.index("(?i:") + 4 : p.index(")")]
             p = p.replace(f"(?i:{inner})", "(?:" + "|".join(map(spell, inner.split("|"))) + ")")

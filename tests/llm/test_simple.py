@@ -244,3 +244,21 @@ def test_toxicity(docs, spark):
     assert rows[600].score == rows[601].score < 0.5
     nothing = toxicity.learn(frame, labels.where("false"))
     assert toxicity.score(frame, nothing).where("score BETWEEN 0 AND 1").count() == len(texts)
+
+
+def test_private_keys(docs):
+    """A key goes whole, however many hyphens it has; without an end line its base64 lines go; both engines find the same."""
+    import duckdb
+
+    key = lambda body: f"-----BEGIN RSA PRIVATE KEY-----\n{body}\n-----END RSA PRIVATE KEY-----"
+    base64 = "\n".join("QUJD" * 16 for _ in range(3))
+    bodies = [base64, "a-b--c---d----e " * 20_000, "x-" * 1000 + "x", "Proc-Type: 4\n\n" + base64, "a-----b", "a-", "-----BEGIN PRIVATE KEY-----\nz"]
+    texts = [f"before {key(b)} after" for b in bodies] + [f"-----BEGIN PRIVATE KEY-----\n{base64}\nQUI= tail", "-----BEGIN PRIVATE KEY----- tail", key("a") + key("b-c")]
+    rows = {r.doc_id: [(s.start, s.end) for s in r.findings if s.kind == "private_key"] for r in secret_scan.find(docs(texts)).collect()}
+    for k in range(4):
+        assert rows[k] == [(7, len(texts[k]) - 6)]
+    assert all(rows.values()) and len(rows[len(texts) - 1]) == 2
+    rule = next(r for r in secret_scan.RULES if r.kind == "private_key")
+    for k, text in enumerate(texts):
+        found = duckdb.execute("SELECT regexp_extract_all(?, ?, 0)", [text, rule.sql]).fetchone()[0]
+        assert found == [text[a:z] for a, z in rows[k]], k
