@@ -18,7 +18,7 @@ def main(args: list[str] | None = None) -> None:
     parser.add_argument("--manifest", help="where the manifest is kept; triage needs it")
     a = parser.parse_args(args)
     spark = SparkSession.builder.appName("corvidex").getOrCreate()
-    files = listing.files(spark, a.folder)
+    files = listing.files(spark, a.folder, columns=(inventory if a.command == "inventory" else triage).COLUMNS)
     if a.command == "inventory":
         info = inventory.file_info(files)
         reports.inventory(inventory.by_extension(info)).show(1000, False)
@@ -26,9 +26,7 @@ def main(args: list[str] | None = None) -> None:
         return
     if not a.manifest:
         parser.error("triage needs --manifest")
-    known = manifest.load(spark, a.manifest)
-    merged = manifest.merge(known, triage.entries(files, known), manifest.OWNED["triage"])
-    manifest.save(merged, a.manifest)
+    manifest.commit(triage.entries(files, manifest.load(spark, a.manifest)), a.manifest, "triage")
     saved = manifest.load(spark, a.manifest).select("file_hash", "status")
     reports.lanes(triage.report(triage.assign(files).join(saved, "file_hash", "left").withColumn("status", F.coalesce("status", F.lit("pending"))))).show(100, False)
 

@@ -9,6 +9,10 @@ from .. import rules
 from ..functions import content, paths
 
 
+#: What an inventory reads of a file: no hash, so no file is read beyond its start.
+COLUMNS = ("path", "length", "header", "sample", "error")
+
+
 def file_info(files: DataFrame) -> DataFrame:
     """``files(path, length, header, sample, error)`` to inventory rows."""
     ext = paths.suffix(paths.name(F.col("path")))
@@ -16,10 +20,10 @@ def file_info(files: DataFrame) -> DataFrame:
     ok = F.col("error") == ""
     is_text = F.col("extension").isin(*rules.TEXT_EXTENSIONS)
     encrypted = F.coalesce(content.encrypted(F.col("extension"), F.col("header")), F.lit(False))
-    # Only text files reach the Python function.
-    plain = typed.where(~(ok & is_text)).withColumn("encoding", F.lit("unknown"))
-    text = typed.where(ok & is_text).withColumn("encoding", content.detect_encoding(F.substring("sample", 1, rules.SAMPLE_BYTES)))
-    return plain.unionByName(text).select("path", "name", "extension", "size_mb", (ok & encrypted).alias("is_encrypted"), "encoding", F.lit(0).alias("page_count"), "error", F.col("length").alias("n_bytes"))
+    # One pass over the files: the Python function gets the samples of text files, and nulls for the rest.
+    found = typed.withColumn("encoding", content.detect_encoding(F.when(ok & is_text, F.substring("sample", 1, rules.SAMPLE_BYTES))))
+    told = F.when(ok & is_text, F.col("encoding")).otherwise("unknown").alias("encoding")
+    return found.select("path", "name", "extension", "size_mb", (ok & encrypted).alias("is_encrypted"), told, F.lit(0).alias("page_count"), "error", F.col("length").alias("n_bytes"))
 
 
 def by_extension(files: DataFrame) -> DataFrame:

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..storage import versions
 
 SCHEMA = schemas.MANIFEST
 COLUMNS = tuple(f.name for f in SCHEMA)
@@ -54,37 +53,24 @@ def existing_only(rows: DataFrame, listing: DataFrame, path: str = "path") -> Da
 # --- storage ------------------------------------------------------------------
 
 
-def save(manifest: DataFrame, root: str) -> str:
-    """Write a new version below ``root`` and point to it: readers see the old version or the new one, whole."""
-    spark = manifest.sparkSession
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    version = f"{root.rstrip('/')}/data-{uuid.uuid4().hex}"
-    manifest.write.parquet(version)
-    draft, final = (jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{n}") for n in (f".current-{uuid.uuid4().hex}", "current"))
-    fs = final.getFileSystem(conf)
-    out = fs.create(draft, True)
-    out.write(bytearray(version.rsplit("/", 1)[1].encode()))
-    out.close()
-    rename = jvm.org.apache.hadoop.fs.Options.Rename
-    options = spark.sparkContext._gateway.new_array(rename, 1)
-    options[0] = rename.OVERWRITE
-    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(fs.makeQualified(draft), fs.makeQualified(final), options)
-    return version
+def store(spark: SparkSession, root: str, buckets: int = versions.BUCKETS) -> versions.Table:
+    """The versioned table at ``root``, in ``buckets`` by hash if it is new."""
+    return versions.Table(spark, root, SCHEMA, "file_hash", buckets)
+
+
+def save(manifest: DataFrame, root: str) -> int:
+    """Replace all entries at ``root``; the number of the version."""
+    return store(manifest.sparkSession, root).replace(manifest).number
+
+
+def commit(updates: DataFrame, root: str, stage: str) -> int:
+    """Set the columns that ``stage`` owns; entries, columns and commits of others stay. The number of the version."""
+    return store(updates.sparkSession, root).commit(updates, OWNED[stage]).number
 
 
 def load(spark: SparkSession, root: str) -> DataFrame:
-    """The current version; empty if there is none."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    pointer = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/current")
-    fs = pointer.getFileSystem(conf)
-    if not fs.exists(pointer):
-        return empty(spark)
-    stream = fs.open(pointer)
-    try:
-        name = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    return spark.read.schema(SCHEMA).parquet(f"{root.rstrip('/')}/{name}")
+    """The newest version; empty if there is none."""
+    return store(spark, root).read()
 
 
 def import_json(spark: SparkSession, path: str) -> DataFrame:

@@ -9,6 +9,10 @@ from .. import rules
 from ..functions import content, paths
 
 
+#: What triage reads of a file.
+COLUMNS = ("path", "length", "header", "file_hash", "error")
+
+
 def assign(files: DataFrame, lanes=rules.LANES, magic=rules.MAGIC) -> DataFrame:
     """Adds ``extension`` and ``lane`` to ``files(path, header)``. The rule tables are literals: no join, no shuffle."""
     return files.withColumn("extension", paths.suffix(paths.name(F.col("path")))).withColumn("lane", content.lane(F.col("extension"), F.col("header"), lanes, magic))

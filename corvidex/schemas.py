@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import DoubleType, IntegerType, LongType, MapType, StringType, StructField, StructType, TimestampNTZType
 
-FILES = "path string, name string, length long, header binary, sample binary, file_hash string, error string"
+FILES = "path string, name string, length long, header binary, sample binary, file_hash string, error string, extension string, modified timestamp"
 
 FILE_INFO = "path string, name string, extension string, size_mb double, is_encrypted boolean, encoding string, page_count int, error string"
 

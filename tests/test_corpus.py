@@ -28,7 +28,7 @@ def folder(tmp_path):
 
 
 def test_listing_has_every_file(spark, folder):
-    rows = {os.path.relpath(r.path, folder): r for r in listing.files(spark, str(folder), filesPerTask="3").collect()}
+    rows = {os.path.relpath(r.path, folder): r for r in listing.files(spark, str(folder), files_per_task=3).collect()}
     assert set(rows) == set(CONTENT)
     for name, data in CONTENT.items():
         assert rows[name].length == len(data) and rows[name].file_hash == hashlib.sha256(data).hexdigest() and bytes(rows[name].header) == data
@@ -184,16 +184,46 @@ def test_macro_mean_differs_from_page_mean(spark):
 
 
 def test_stream(spark, folder, tmp_path):
+    """Three runs over a growing tree: every file counts, known contents keep their status and get their last path."""
     root, check = str(tmp_path / "m"), str(tmp_path / "c")
-    ingest.start(spark, str(folder), root, check).awaitTermination(120)
+    run = lambda: ingest.run(spark, str(folder), root, check)
+    run()
     n = manifest.load(spark, root).count()
-    assert n == len({d for k, d in CONTENT.items() if d and not os.path.basename(k).startswith((".", "_"))})
+    assert n == len(set(CONTENT.values()))
     manifest.save(manifest.mark_processed(manifest.load(spark, root), manifest.load(spark, root)), root)
     (folder / "new.txt").write_bytes(b"new")
     (folder / "again.txt").write_bytes(b"hello")
-    ingest.start(spark, str(folder), root, check).awaitTermination(120)
+    run()
     rows = manifest.load(spark, root)
     assert rows.count() == n + 1 and rows.where("status = 'pending'").count() == 1
+    (folder / "zzz.txt").write_bytes(b"hello")  # a later path of a known content
+    (folder / "a.txt").write_bytes(b"changed")
+    run()
+    found = {r.file_hash: r for r in manifest.load(spark, root).collect()}
+    hello = found[hashlib.sha256(b"hello").hexdigest()]
+    assert hello.path.endswith("/zzz.txt") and hello.status == "processed" and len(found) == n + 2
+    run()  # nothing new
+    assert {h: r.path for h, r in found.items()} == {r.file_hash: r.path for r in manifest.load(spark, root).collect()}
+
+
+def test_stream_after_a_crash(spark, folder, tmp_path, monkeypatch):
+    """A batch that fails after its commit is run again from the log, though the tree has changed, and gives the same manifest."""
+    root, check = str(tmp_path / "m"), str(tmp_path / "c")
+    commit = manifest.commit
+
+    def crash(*args):
+        commit(*args)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(manifest, "commit", crash)
+    with pytest.raises(Exception, match="lost"):
+        ingest.start(spark, str(folder), root, check).awaitTermination(120)
+    monkeypatch.setattr(manifest, "commit", commit)
+    before = {r.file_hash: (r.path, r.lane, r.status) for r in manifest.load(spark, root).collect()}
+    (folder / "late.txt").write_bytes(b"late")
+    assert ingest.run(spark, str(folder), root, check) == 2
+    after = {r.file_hash: (r.path, r.lane, r.status) for r in manifest.load(spark, root).collect()}
+    assert after.pop(hashlib.sha256(b"late").hexdigest())[1] == "text" and after == before
 
 
 def test_command_line(spark, folder, tmp_path, capsys):
