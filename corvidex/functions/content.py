@@ -46,8 +46,21 @@ def size_mib(length: Column) -> Column:
 
 
 def size_mb(length: Column) -> Column:
-    """Millions of bytes, rounded half up to two places in exact decimals."""
-    return F.round(length.cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)"), 2).cast("double")
+    """Millions of bytes to two places: the nearest to the binary quotient, an exact tie to the even one.
+
+    Whole numbers only. Beside a tie of the decimal quotient the binary one lies
+    on the same side; at a tie, ``q`` is the quotient as a whole number over
+    ``2**k``, and its product with a million tells the side. Exact below a
+    petabyte.
+    """
+    cents, rest = F.floor(length / F.lit(10_000)).cast("long"), F.pmod(length, F.lit(10_000))
+    quotient = length / F.lit(1e6)
+    k = (F.lit(53) - F.floor(F.log2(quotient))).cast("int")
+    power = F.call_function("shiftleft", F.lit(1).cast("long"), k)
+    wide = lambda c: c.cast("decimal(19,0)")
+    side = F.signum(wide((quotient * power).cast("long")) * F.lit(1_000_000).cast("decimal(7,0)") - wide(length) * wide(power))
+    up = F.when(rest > 5000, 1).when(rest < 5000, 0).when(side > 0, 1).when(side < 0, 0).otherwise(F.pmod(cents, F.lit(2)))
+    return (cents + up) / F.lit(100.0)
 
 
 def _encodings(sample: pd.Series) -> pd.Series:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, MapType, StringType, StructField, StructType
+from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 from ..adapters.pdf import Opener, open_with_pymupdf
 from .content import _encodings
@@ -22,7 +24,40 @@ def page_texts(opener: Opener) -> Callable:
     return F.udtf(PageTexts, returnType="page_num int, text string, width double, height double")
 
 
+class FoldPages:
+    """``fold_pages(TABLE(pages) PARTITION BY key ORDER BY page)``: a document's pages to one row, read in a stream.
+
+    The table has a key, a page number and a class, in this order and under any
+    names. A row has the key, the number of pages, the pages of each class, and
+    the longest run of scanned pages that follow each other. A document of any
+    length takes a few counters.
+    """
+
+    @staticmethod
+    def analyze(pages: AnalyzeArgument) -> AnalyzeResult:
+        if not pages.isTable or len(pages.dataType.fields) < 3:
+            raise ValueError("fold_pages takes a table of key, page number and class")
+        key = pages.dataType.fields[0]
+        profile = MapType(StringType(), IntegerType())
+        return AnalyzeResult(StructType([StructField(key.name, key.dataType), StructField("page_count", IntegerType()), StructField("page_profile", profile), StructField("longest_scanned_run", IntegerType())]))
+
+    def __init__(self):
+        self.key, self.counts, self.run, self.longest, self.last = None, {}, 0, 0, None
+
+    def eval(self, page: Row) -> None:
+        self.key, number, name = page[0], page[1], page[2]
+        self.counts[name] = self.counts.get(name, 0) + 1
+        follows = self.last is not None and number == self.last + 1
+        self.run = (self.run + 1 if follows else 1) if name == "scanned" else 0
+        self.longest, self.last = max(self.longest, self.run), number
+
+    def terminate(self) -> Iterator[tuple]:
+        if self.counts:
+            yield self.key, sum(self.counts.values()), self.counts, self.longest
+
+
 def register(spark: SparkSession, opener: Opener = open_with_pymupdf) -> None:
-    """``corpus_encoding(sample)`` and, for lateral joins, ``page_texts(path)``."""
+    """``corpus_encoding(sample)``, for lateral joins ``page_texts(path)``, and ``fold_pages`` over partitioned tables."""
     spark.udf.register("corpus_encoding", F.pandas_udf(_encodings, "string"))
     spark.udtf.register("page_texts", page_texts(opener))
+    spark.udtf.register("fold_pages", F.udtf(FoldPages))

@@ -73,11 +73,15 @@ def load(spark: SparkSession, root: str) -> DataFrame:
     return store(spark, root).read()
 
 
+def parse_json(objects: DataFrame) -> DataFrame:
+    """Manifest rows of JSON objects ``value`` that hold entries by hash."""
+    entry = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in SCHEMA if f.name != "file_hash")
+    return conform(objects.select(F.explode(F.from_json("value", f"map<string,struct<{entry}>>"))).select(F.col("key").alias("file_hash"), "value.*"))
+
+
 def import_json(spark: SparkSession, path: str) -> DataFrame:
     """A manifest kept as one JSON object of entries by hash."""
-    entry = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in SCHEMA if f.name != "file_hash")
-    whole = spark.read.text(path, wholetext=True)
-    return conform(whole.select(F.explode(F.from_json("value", f"map<string,struct<{entry}>>"))).select(F.col("key").alias("file_hash"), "value.*"))
+    return parse_json(spark.read.text(path, wholetext=True))
 
 
 def export_json(manifest: DataFrame, path: str) -> None:

@@ -53,8 +53,3 @@ def run_confidence(per_document: DataFrame) -> DataFrame:
 def entries(docs: DataFrame, folder: str) -> DataFrame:
     """Manifest rows of recognized files."""
     return docs.select("file_hash", F.lit("done").alias("ocr_status"), F.concat(F.lit(folder.rstrip("/") + "/"), F.col("file_hash"), F.lit("_ocr.json")).alias("ocr_output"))
-
-
-def write_json(docs: DataFrame, folder: str) -> None:
-    """A folder of JSON files for each hash."""
-    docs.withColumn("hash", F.col("file_hash")).write.partitionBy("hash").json(folder)

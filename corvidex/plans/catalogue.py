@@ -6,18 +6,19 @@ operators themselves are the library's.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import rules
-from ..functions import content, ocr, paths, text
+from .. import rules, storage
+from ..functions import content, ocr, paths, register, text
 from ..functions import pages as page_functions
-from ..operators import convert, inventory, manifest, profile, reports, triage
+from ..operators import convert, inventory, manifest, order, profile, reports, triage
 from ..operators import ocr as ocr_operators
 from . import facts
-from .facts import CONTENTS_SQL, FILES_SQL, LANES_SQL, PAGES_SQL, table
+from .facts import CONTENTS_SQL, FILES_SQL, LANES_SQL, LINES_SQL, PAGE_FACTS_SQL, PAGES_SQL, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -55,7 +56,7 @@ def _inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _INVENTORY_SQL = f"""SELECT CASE WHEN grouping(x) = 1 THEN 'TOTAL' ELSE x END AS ext, count(*) AS n_files, CAST(sum(length) AS BIGINT) AS n_bytes,
-  CAST(count(*) FILTER (WHERE {_ENCRYPTED}) AS BIGINT) AS n_encrypted, CASE WHEN grouping(x) = 0 THEN sum(length) / 1048576 / count(*) END AS avg_mib
+  CAST(count(*) FILTER (WHERE {_ENCRYPTED}) AS BIGINT) AS n_encrypted, CASE WHEN grouping(x) = 0 THEN sum(length) / 1048576 / count(*) END AS avg_mib, sum(length) / 1048576 AS size_mib
   FROM (SELECT *, CASE WHEN extension = '' THEN '(no ext)' ELSE extension END AS x FROM ({FILES_SQL})) GROUP BY ROLLUP (x)"""
 
 
@@ -64,9 +65,9 @@ def inventory_by_ext_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inventory.by_extension(_inventory(spark, sf_dir)).select("ext", *_long("n_files", "n_bytes", "n_encrypted"), F.round("avg_mib", 6).alias("avg_mib"))
 
 
-@query(f"SELECT ext AS format, CAST(n_files AS VARCHAR) AS count, CASE WHEN ext = 'TOTAL' THEN CAST(n_encrypted AS VARCHAR) WHEN n_encrypted > 0 THEN '🔒 ' || n_encrypted ELSE '—' END AS encrypted FROM ({_INVENTORY_SQL})")
+@query(f"SELECT ext AS format, CAST(n_files AS VARCHAR) AS count, printf('%.2f', size_mib) AS total_size, CASE WHEN ext = 'TOTAL' THEN CAST(n_encrypted AS VARCHAR) WHEN n_encrypted > 0 THEN '🔒 ' || n_encrypted ELSE '—' END AS encrypted, coalesce(printf('%.2f', avg_mib), '') AS avg_size FROM ({_INVENTORY_SQL})")
 def inventory_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.inventory(inventory.by_extension(_inventory(spark, sf_dir))).select("format", "count", "encrypted")
+    return reports.inventory(inventory.by_extension(_inventory(spark, sf_dir)))
 
 
 @query(f"SELECT parse_filename(path) AS name, error FROM ({FILES_SQL}) WHERE error <> '' ORDER BY string_split(path, '/') LIMIT 10")
@@ -90,9 +91,16 @@ def header_token(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", F.contains(head, F.lit("<h1").cast("binary")).alias("found"))
 
 
-@query(f"SELECT p_partkey, length / 1048576 AS size_mib, CAST(round(CAST(length AS DECIMAL(20,0)) / 1000000.0::DECIMAL(8,1)::DOUBLE, 6) AS DOUBLE) AS size_mb_6 FROM ({FILES_SQL})")
+@query(f"SELECT p_partkey, length / 1048576 AS size_mib, CAST(printf('%.2f', length / 1e6) AS DOUBLE) AS size_mb FROM ({FILES_SQL})")
 def file_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.files(spark, sf_dir).select("p_partkey", content.size_mib(F.col("length")).alias("size_mib"), F.round(F.col("length") / F.lit(1e6), 6).alias("size_mb_6"))
+    return facts.files(spark, sf_dir).select("p_partkey", content.size_mib(F.col("length")).alias("size_mib"), content.size_mb(F.col("length")).alias("size_mb"))
+
+
+@query("SELECT doc_id, CAST(printf('%.2f', (coalesce(strlen(text), 0) * 5000) / 1e6) AS DOUBLE) AS size_mb FROM documents")
+def size_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the lengths are ties of the decimal quotient."""
+    length = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") * 5000
+    return table(spark, sf_dir, "documents").select("doc_id", content.size_mb(length).alias("size_mb"))
 
 
 @query()
@@ -119,10 +127,9 @@ def magic_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.files(spark, sf_dir).select("p_partkey", content.magic_extension(F.col("header")).alias("magic"))
 
 
-@query(f"SELECT lane || ': ' || count(*) || ' files, ' || count(*) FILTER (WHERE status = 'pending') || ' pending' AS line FROM ({LANES_SQL}) GROUP BY lane")
+@query(f"SELECT printf('%-12s | %4d files | %4d pending | %8.2f MB', lane, count(*), count(*) FILTER (WHERE status = 'pending'), CAST(printf('%.2f', sum(length) / 1e6) AS DOUBLE)) AS line FROM ({LANES_SQL}) GROUP BY lane")
 def lane_report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = triage.report(triage.assign(facts.files(spark, sf_dir)))
-    return report.select(F.format_string("%s: %d files, %d pending", "lane", "n_files", "n_pending").alias("line"))
+    return reports.lanes(triage.report(triage.assign(facts.files(spark, sf_dir))))
 
 
 @query(f"SELECT doc_id, file_hash FROM ({CONTENTS_SQL})")
@@ -140,16 +147,9 @@ def manifest_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT DISTINCT path, CAST(row_number() OVER (ORDER BY string_split(path, '/')) AS BIGINT) AS place FROM (SELECT url AS path FROM pages)")
 def path_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The place of each path in component order: ranks within the first letters, offsets from their counts, so no task sorts all.
+    """The place of each path in component order."""
     rows = table(spark, sf_dir, "pages").select(F.col("url").alias("path"))
-    from pyspark.sql import Window
-
-    keyed = rows.withColumn("k", paths.path_key(F.col("path")))
-    cut = keyed.withColumn("head", F.slice("k", 1, 4))
-    within = cut.withColumn("r", F.row_number().over(Window.partitionBy("head").orderBy("k")))
-    sizes = cut.groupBy("head").count()
-    before = sizes.withColumn("before", F.coalesce(F.sum("count").over(Window.orderBy("head").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("head", "before")
-    return within.join(before, "head").select("path", (F.col("before") + F.col("r")).cast("long").alias("place"))
+    return order.places(rows, paths.path_key(F.col("path")))
 
 
 def _known(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,6 +200,38 @@ def mark_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.mark_processed(_known(spark, sf_dir), done).select("file_hash", "path", "status")
 
 
+@query(f"SELECT file_hash, path, 'pending' AS status, CASE WHEN length % 2 = 0 THEN 'done' ELSE 'failed' END AS convert_status, CASE WHEN length % 3 = 0 THEN 'done' END AS ocr_status, CASE WHEN length % 2 = 0 THEN 'pdf_from_doc' ELSE 'other' END AS lane FROM ({_LAST_SQL})")
+def manifest_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three stages commit to a new manifest; each sets its own columns."""
+    root = f"{storage.shared_folder(spark)}/corvidex/manifest-{uuid.uuid4().hex}"
+    last = triage.last_by_path(facts.contents(spark, sf_dir))
+    manifest.commit(triage.entries(facts.contents(spark, sf_dir).withColumn("header", F.substring(F.col("text").cast("binary"), 1, 16))), root, "triage")
+    even, third = F.col("length") % 2 == 0, F.col("length") % 3 == 0
+    manifest.commit(last.select("file_hash", "path", F.when(even, "pdf_from_doc").otherwise("other").alias("lane"), F.when(even, "done").otherwise("failed").alias("convert_status"), F.lit(None).cast("string").alias("converted_pdf")), root, "convert")
+    manifest.commit(last.select("file_hash", F.when(third, "done").alias("ocr_status"), F.lit(None).cast("string").alias("ocr_output")), root, "ocr")
+    return manifest.load(spark, root).select("file_hash", "path", "status", "convert_status", "ocr_status", "lane")
+
+
+@query(f"SELECT DISTINCT file_hash, path, 'text' AS lane, length AS n_bytes, CASE WHEN length % 2 = 0 THEN 'scanned=' || length % 9 END AS page_profile FROM ({CONTENTS_SQL})")
+def manifest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries kept as JSON objects by hash; absent keys are null."""
+    rows = facts.contents(spark, sf_dir)
+    entry = F.struct("path", F.lit("text").alias("lane"), F.col("length").alias("n_bytes"), F.when(F.col("length") % 2 == 0, F.create_map(F.lit("scanned"), (F.col("length") % 9).cast("int"))).alias("page_profile"))
+    found = manifest.parse_json(rows.select(F.to_json(F.create_map("file_hash", entry)).alias("value")))
+    pairs = F.transform(F.map_entries("page_profile"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
+    return found.select("file_hash", "path", "lane", "n_bytes", F.array_join(pairs, ",").alias("page_profile")).distinct()
+
+
+@query(f"SELECT file_hash, coalesce(nullif(converted_pdf, ''), path) AS path FROM ({_KNOWN_SQL}) WHERE file_hash IN (SELECT file_hash FROM ({CONTENTS_SQL}) WHERE length % 2 = 0)")
+def ocr_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with scanned pages, by the path that can be used, if it exists."""
+    known = _known(spark, sf_dir)
+    profiles = facts.contents(spark, sf_dir).select("file_hash", F.when(F.col("length") % 2 == 0, F.create_map(F.lit("scanned"), F.lit(1))).otherwise(F.create_map(F.lit("slide_style"), F.lit(2))).alias("p")).groupBy("file_hash").agg(F.any_value("p").alias("p"))
+    found = known.drop("page_profile").join(profiles, "file_hash", "left").withColumnRenamed("p", "page_profile")
+    listing = known.select("path").unionByName(known.where("converted_pdf IS NOT NULL").select(F.col("converted_pdf").alias("path")))
+    return ocr_operators.candidates(found, listing)
+
+
 @query(f"SELECT file_hash, path, '' AS convert_status FROM ({_LAST_SQL})")
 def replace_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole entries are replaced: nothing of the former ones is left."""
@@ -253,10 +285,10 @@ def conversion_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").groupBy(convert.status(ok, F.expr(_VALID)).alias("status")).agg(F.count("*").alias("n"))
 
 
-@query(f"SELECT count(*) FILTER (WHERE {_OK}) AS n_valid, count(*) FILTER (WHERE NOT ({_OK})) AS n_failed, CAST(sum(o_orderkey % 100) AS DOUBLE) AS serial_s, sum(o_orderkey % 100) / 60 AS serial_min, sum(o_orderkey % 100) / 4 / 60 AS parallel_min FROM orders")
+@query(f"SELECT count(*) FILTER (WHERE {_OK}) AS n_valid, count(*) FILTER (WHERE NOT ({_OK})) AS n_failed, CAST(sum(o_orderkey % 100) AS DOUBLE) AS serial_s, sum(o_orderkey % 100) / 60 AS serial_min, sum(o_orderkey % 100) / 4 / 60 AS parallel_min, CAST(sum(o_orderkey % 1000) FILTER (WHERE {_OK}) AS BIGINT) AS text_chars FROM orders")
 def conversion_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    results = table(spark, sf_dir, "orders").select(F.expr(_OK).alias("valid"), (F.col("o_orderkey") % 100).cast("double").alias("seconds"))
-    return convert.totals(results).select(*_long("n_valid", "n_failed"), "serial_s", "serial_min", "parallel_min")
+    results = table(spark, sf_dir, "orders").select(F.expr(_OK).alias("valid"), (F.col("o_orderkey") % 100).cast("double").alias("seconds"), (F.col("o_orderkey") % 1000).alias("text_chars"))
+    return convert.totals(results).select(*_long("n_valid", "n_failed"), "serial_s", "serial_min", "parallel_min", "text_chars")
 
 
 @query("SELECT doc_id, CASE WHEN length(text) > 300 THEN substr(text, length(text) - 299) ELSE text END AS tail FROM documents")
@@ -292,8 +324,65 @@ def class_histogram_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT doc, count(*) AS page_count, count(*) FILTER (WHERE text_chars < 100) AS scanned FROM ({PAGES_SQL}) GROUP BY doc HAVING count(*) FILTER (WHERE text_chars < 100) > 0")
 def per_doc_scanned_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = facts.pages(spark, sf_dir).groupBy("doc").agg(F.count("*").alias("page_count"), F.count_if(F.col("text_chars") < rules.SCANNED_CHARS).alias("scanned"))
-    return counted.where("scanned > 0")
+    found = profile.histograms(_class_of(spark, sf_dir), "doc")
+    return found.select("doc", F.col("page_count").cast("long").alias("page_count"), F.col("page_profile")["scanned"].cast("long").alias("scanned")).where("scanned > 0")
+
+
+@query(f"""SELECT doc, CAST(n AS INT) AS page_count, profile AS page_profile, coalesce(run, 0) AS longest_scanned_run FROM (SELECT doc, sum(n) AS n, string_agg(class || '=' || n, ',' ORDER BY class) AS profile FROM (SELECT doc, class, count(*) AS n FROM ({LINES_SQL}) GROUP BY doc, class) GROUP BY doc)
+  LEFT JOIN (SELECT doc, CAST(max(n) AS INT) AS run FROM (SELECT doc, g, count(*) AS n FROM (SELECT doc, class, page - row_number() OVER (PARTITION BY doc, class ORDER BY page) AS g FROM ({LINES_SQL})) WHERE class = 'scanned' GROUP BY doc, g) GROUP BY doc) USING (doc)""")
+def folded_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table function ``fold_pages`` in SQL, over the pages of each document in their order."""
+    register.register(spark)
+    _class_of(spark, sf_dir).createOrReplaceTempView("corvidex_pages")
+    found = spark.sql("SELECT * FROM fold_pages(TABLE(SELECT doc, page, min(class) AS class FROM corvidex_pages GROUP BY doc, page) PARTITION BY doc ORDER BY page)")
+    pairs = F.transform(F.array_sort(F.map_entries("page_profile")), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
+    return found.select("doc", "page_count", F.array_join(pairs, ",").alias("page_profile"), "longest_scanned_run")
+
+
+_PROFILES_SQL = f"""SELECT file, any_value(origin) AS origin, broken, string_agg(class || '=' || n, ',' ORDER BY class) AS page_profile, CAST(sum(n) AS INT) AS page_count, CAST(sum(images) AS BIGINT) AS n_images,
+  CAST(sum(tables) AS BIGINT) AS n_tables, CAST(sum(chars) AS BIGINT) AS text_chars, CAST(sum(heads) AS BIGINT) AS headings
+  FROM (SELECT file, any_value(origin) AS origin, broken, class, count(*) AS n, sum(n_images) AS images, sum(n_tables) AS tables, sum(text_chars) AS chars, sum(headings) AS heads FROM ({PAGE_FACTS_SQL}) GROUP BY file, broken, class) GROUP BY file, broken"""
+
+
+@query(f"SELECT file, origin, broken AS failed, CASE WHEN NOT broken THEN page_profile END AS page_profile, CASE WHEN broken THEN 0 ELSE page_count END AS page_count, CASE WHEN broken THEN 0 ELSE n_images END AS n_images, CASE WHEN broken THEN 0 ELSE n_tables END AS n_tables, CASE WHEN broken THEN 0 ELSE text_chars END AS text_chars, CASE WHEN broken THEN 0 ELSE headings END AS headings FROM ({_PROFILES_SQL})")
+def file_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages and errors of each file in one pass over the facts."""
+    found = profile.profiles(facts.page_facts(spark, sf_dir))
+    pairs = F.transform(F.map_entries("page_profile"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
+    return found.select(F.col("file_hash").alias("file"), "origin", F.col("error").isNotNull().alias("failed"), F.array_join(pairs, ",").alias("page_profile"), *(F.coalesce(c, F.lit(0)).alias(c) for c in ("page_count", "n_images", "n_tables", "text_chars", "headings")))
+
+
+@query(f"SELECT count(*) AS n_files, count(*) FILTER (WHERE broken) AS n_failed, CAST(sum(page_count) FILTER (WHERE NOT broken) AS BIGINT) AS page_count, CAST(sum(n_images) FILTER (WHERE NOT broken) AS BIGINT) AS n_images, CAST(sum(n_tables) FILTER (WHERE NOT broken) AS BIGINT) AS n_tables, CAST(sum(text_chars) FILTER (WHERE NOT broken) AS BIGINT) AS text_chars FROM ({_PROFILES_SQL})")
+def profile_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.totals(profile.profiles(facts.page_facts(spark, sf_dir)))
+
+
+@query(f"SELECT origin, class, CAST(count(*) AS BIGINT) AS n_pages FROM ({PAGE_FACTS_SQL}) WHERE NOT broken GROUP BY origin, class")
+def origins_of_good_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.origins_of(profile.profiles(facts.page_facts(spark, sf_dir)))
+
+
+@query(f"SELECT file, page, class, text_chars, n_images, n_tables, headings FROM ({PAGE_FACTS_SQL}) WHERE NOT broken")
+def classified_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = profile.classify(facts.page_facts(spark, sf_dir))
+    return found.select(F.col("file_hash").alias("file"), F.col("page_num").alias("page"), "class", F.col("text_chars").cast("long").alias("text_chars"), "n_images", "n_tables", "headings")
+
+
+@query(f"SELECT class, printf('%6d', count(*)) AS pages, printf('%.1f%%', count(*) * 100.0 / sum(count(*)) OVER ()) AS percent FROM ({PAGE_FACTS_SQL}) WHERE NOT broken GROUP BY class")
+def page_class_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.page_classes(profile.classes_of(profile.profiles(facts.page_facts(spark, sf_dir))))
+
+
+@query("SELECT printf('%d files, %d pages, confidence %.1f', count(*), CAST(sum(n) AS BIGINT), avg(c)) AS line FROM (SELECT user_id, count(*) AS n, avg(value) AS c FROM events GROUP BY user_id)")
+def ocr_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "events").select("user_id", F.col("value").alias("confidence"))
+    return reports.ocr(ocr_operators.run_confidence(ocr_operators.document_confidence(pages, "user_id")))
+
+
+@query(f"SELECT printf('valid %d, failed %d', count(*) FILTER (WHERE {_OK}), count(*) FILTER (WHERE NOT ({_OK}))) AS counts, printf('serial %.1f min, parallel %.1f min', sum(o_orderkey % 100) / 60, sum(o_orderkey % 100) / 4 / 60) AS times FROM orders")
+def conversion_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    results = table(spark, sf_dir, "orders").select(F.expr(_OK).alias("valid"), (F.col("o_orderkey") % 100).cast("double").alias("seconds"))
+    return reports.conversions(convert.totals(results))
 
 
 _STRIP_SQL = r"length(regexp_replace(text, '^[\s\x0b\x1c-\x1f\x{85}\p{Z}]+|[\s\x0b\x1c-\x1f\x{85}\p{Z}]+$', '', 'g'))"

@@ -38,7 +38,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page for each line of an order, its measures already taken."""
     tax = F.col("l_tax") >= 0.03
     return table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("doc"), F.when(F.col("l_returnflag") == "N", "original").otherwise("converted").alias("origin"),
+        F.col("l_orderkey").alias("doc"), F.col("l_linenumber").alias("page"), F.when(F.col("l_returnflag") == "N", "original").otherwise("converted").alias("origin"),
         F.floor(F.col("l_extendedprice") / 50).alias("text_chars"), (F.col("l_discount") * 4).alias("image_ratio"),
         F.when(tax, F.col("l_tax") * 5).otherwise(F.lit(0.0)).alias("table_ratio"), tax.alias("has_table"), (F.col("l_linenumber") % 4).alias("headings"),
     )
@@ -50,6 +50,32 @@ PAGES_SQL = """SELECT doc, origin, text_chars, CASE WHEN text_chars < 100 THEN '
   l_discount * 4 AS image_ratio, CASE WHEN l_tax >= 0.03 THEN l_tax * 5 ELSE 0 END AS table_ratio, l_tax >= 0.03 AS has_table, l_linenumber % 4 AS headings FROM lineitem)"""
 
 
+_LINE_CLASSES = PAGES_SQL.replace("SELECT doc, origin,", "SELECT doc, page, origin,", 1).replace("SELECT l_orderkey AS doc,", "SELECT l_orderkey AS doc, l_linenumber AS page,")
+#: One class for each line number of an order, as some have one twice.
+LINES_SQL = f"SELECT doc, page, min(class) AS class FROM ({_LINE_CLASSES}) GROUP BY doc, page"
+
+
+def page_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts of a page for each line of an order, as a parser would give them; the first page of some files can't be read."""
+    box = lambda height: F.array(F.struct(F.lit(0.0).alias("x0"), F.lit(0.0).alias("y0"), F.lit(10.0).alias("x1"), height.alias("y1")))
+    none, tax, big = F.array().cast("array<struct<x0:double,y0:double,x1:double,y1:double>>"), F.col("l_tax"), (F.col("l_linenumber") % 4).cast("int")
+    span = lambda size: F.struct(F.lit(size).alias("size"), F.lit("a").alias("text"))
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("file_hash"), F.concat(F.lit("/f/"), "l_orderkey").alias("path"), F.when(F.col("l_orderkey") % 2 == 0, "original").otherwise("converted").alias("origin"),
+        F.col("l_linenumber").cast("int").alias("page_num"), F.repeat(F.lit("w"), F.floor(F.col("l_extendedprice") / 50).cast("int")).alias("text"), F.lit(10.0).alias("width"), F.lit(10.0).alias("height"),
+        F.when(F.col("l_discount") > 0, box(F.col("l_discount") * 40)).otherwise(none).alias("images"), F.when(tax >= 0.03, box(tax * 50)).otherwise(none).alias("tables"),
+        F.concat(F.array_repeat(span(10.0), 5), F.array_repeat(span(20.0), big)).alias("spans"),
+        F.when((F.col("l_orderkey") % 11 == 0) & (F.col("l_linenumber") == 1), "damaged").alias("error"),
+    )
+
+
+PAGE_FACTS_SQL = """SELECT file, origin, page, broken, text_chars, n_images, n_tables, headings, CASE WHEN text_chars < 100 THEN 'scanned' WHEN image_ratio >= 0.30 AND text_chars < 800 AND headings <= 2 THEN 'slide_style'
+  WHEN table_ratio >= 0.30 THEN 'table_heavy' WHEN n_tables > 0 THEN 'text_with_tables' ELSE 'text_structured' END AS class
+  FROM (SELECT *, CASE WHEN text_chars >= 100 THEN big ELSE 0 END AS headings FROM (SELECT CAST(l_orderkey AS VARCHAR) AS file, CASE WHEN l_orderkey % 2 = 0 THEN 'original' ELSE 'converted' END AS origin, l_linenumber AS page,
+  max(CAST(l_orderkey % 11 = 0 AND l_linenumber = 1 AS INT)) OVER (PARTITION BY l_orderkey) = 1 AS broken, CAST(floor(l_extendedprice / 50) AS BIGINT) AS text_chars, l_linenumber % 4 AS big,
+  CAST(l_discount > 0 AS INT) AS n_images, CAST(l_tax >= 0.03 AS INT) AS n_tables, l_discount * 40 * 10 / 100 AS image_ratio, CASE WHEN l_tax >= 0.03 THEN l_tax * 50 * 10 / 100 ELSE 0 END AS table_ratio FROM lineitem))"""
+
+
 def contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A file for each document: hash and path."""
     return table(spark, sf_dir, "documents").select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("file_hash"), F.concat(F.lit("/"), F.col("source"), F.lit("/d"), F.col("doc_id")).alias("path"), F.octet_length("text").cast("long").alias("length"), "text")

@@ -33,7 +33,8 @@ TEXT_EXTENSIONS = (".txt", ".csv", ".md")
 HEADER_BYTES = 1024
 SAMPLE_BYTES = 10_000
 
-# Page classes.
+# Page classes and their thresholds.
+PAGE_CLASSES = ("scanned", "slide_style", "table_heavy", "text_with_tables", "text_structured")
 SCANNED_CHARS = 100
 SLIDE_IMAGE_RATIO = 0.30
 SLIDE_CHARS = 800

@@ -24,7 +24,9 @@ MANIFEST = StructType(
 BOX = "struct<x0:double,y0:double,x1:double,y1:double>"
 PAGE_FACTS = f"file_hash string, path string, origin string, page_num int, text string, width double, height double, images array<{BOX}>, tables array<{BOX}>, spans array<struct<size:double,text:string>>, error string"
 
-CONVERSIONS = "file_hash string, path string, success boolean, seconds double, output string, error string, attempts int"
+#: One attempt to convert a file; ``slot`` is the task that made it.
+ATTEMPTS = "file_hash string, path string, output string, attempt int, slot int, success boolean, seconds double, error string"
+CONVERSIONS = "file_hash string, path string, success boolean, seconds double, output string, error string, attempts int, history array<struct<attempt:int,slot:int,success:boolean,seconds:double,error:string>>"
 
 OCR_WORDS = "file_hash string, page_num int, text array<string>, conf array<string>"
 OCR_DOCUMENT = "file_hash string, source_pdf string, ocr_results array<struct<text:string,confidence:double,language:string,page_num:long,word_count:long>>, total_pages long"

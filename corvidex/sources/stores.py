@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import re
+import shutil
 from collections.abc import Iterator
 from typing import BinaryIO, NamedTuple
 
@@ -46,6 +48,20 @@ class Mounted:
     def open(self, path: str) -> BinaryIO:
         return open(path, "rb")
 
+    def make(self, folder: str) -> None:
+        os.makedirs(folder, exist_ok=True)
+
+    def put(self, path: str, data: bytes) -> None:
+        with open(path, "wb") as f:
+            f.write(data)
+
+    def move(self, path: str, to: str) -> None:
+        if os.path.exists(path):  # a name that the task had twice is moved already
+            os.replace(path, to)
+
+    def remove(self, folder: str) -> None:
+        shutil.rmtree(folder, ignore_errors=True)
+
 
 class Arrow:
     """Any address that Arrow opens, ``s3://``, ``gs://`` and ``hdfs://`` among them; paths keep its scheme."""
@@ -67,6 +83,21 @@ class Arrow:
     def open(self, path: str) -> BinaryIO:
         return self.files.open_input_stream(path[len(self.prefix) :])
 
+    def make(self, folder: str) -> None:
+        self.files.create_dir(folder[len(self.prefix) :])
+
+    def put(self, path: str, data: bytes) -> None:
+        with self.files.open_output_stream(path[len(self.prefix) :]) as f:
+            f.write(data)
+
+    def move(self, path: str, to: str) -> None:
+        with contextlib.suppress(FileNotFoundError):
+            self.files.move(path[len(self.prefix) :], to[len(self.prefix) :])
+
+    def remove(self, folder: str) -> None:
+        with contextlib.suppress(FileNotFoundError):
+            self.files.delete_dir(folder[len(self.prefix) :])
+
 
 def of(address: str) -> Mounted | Arrow:
     return Arrow(address) if re.match(r"[a-z][a-z0-9+.-]+://", address) else Mounted()

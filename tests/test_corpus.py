@@ -167,8 +167,9 @@ def test_recognition(spark, tmp_path):
     layout = ocr.layout_records(tesseract.regions(chosen, fake_regions)).first()
     assert layout.combined_text == "T\n\nx" and len(layout.regions) == 2
     docs = ocr.documents(pages, chosen)
-    ocr.write_json(docs, str(tmp_path / "json"))
-    back = recognized.documents(spark, str(tmp_path / "json" / "*"))
+    recognized.write(docs, str(tmp_path / "json"))
+    assert os.listdir(tmp_path / "json") == ["h1_ocr.json"]
+    back = recognized.documents(spark, str(tmp_path / "json"))
     assert ocr.explode_documents(back).count() == 2 and back.first().total_pages == 2
     per = ocr.document_confidence(ocr.explode_documents(back))
     assert per.first().confidence == 40.0
@@ -226,6 +227,43 @@ def test_stream_after_a_crash(spark, folder, tmp_path, monkeypatch):
     assert after.pop(hashlib.sha256(b"late").hexdigest())[1] == "text" and after == before
 
 
+def test_json_files(spark, tmp_path):
+    """One file for each hash, equal when read back; a failed write leaves no partial file."""
+    page = "array<struct<text:string,confidence:double,language:string,page_num:long,word_count:long>>"
+    rows = [(f"{k:064x}", f"/p{k}.pdf", [(f"ä {k}", 1.5, "eng", 1, 2)] * (k % 4), k % 4) for k in range(50)]
+    docs = spark.createDataFrame(rows, f"file_hash string, source_pdf string, ocr_results {page}, total_pages long").repartition(4)
+    folder = str(tmp_path / "json")
+    for _ in range(2):  # again: the same files
+        recognized.write(docs, folder)
+        assert sorted(os.listdir(folder)) == [f"{r[0]}_ocr.json" for r in rows]
+    assert sorted(map(tuple, recognized.documents(spark, folder).collect())) == sorted(map(tuple, docs.collect()))
+    broken = docs.withColumn("file_hash", F.when(F.col("total_pages") == 3, F.raise_error("bad").cast("string")).otherwise(F.concat(F.lit("x"), "file_hash")))
+    with pytest.raises(Exception, match="bad"):
+        recognized.write(broken, folder)
+    assert all(json.load(open(os.path.join(folder, n))) for n in os.listdir(folder)) and not any(n.startswith(".") for n in os.listdir(folder))
+
+
+def bad_slot(path, output, slot, timeout):
+    """The first task's tool is broken, and one file can't be converted."""
+    if slot == 0 or path.endswith("never.doc"):
+        return 1, b"out of order"
+    os.makedirs(os.path.dirname(output), exist_ok=True)
+    open(output, "wb").write(b"%PDF")
+    return 0, b""
+
+
+def test_rounds(spark, tmp_path):
+    """What a broken task fails is done by another one in the next round; progress comes from the running jobs."""
+    files = spark.createDataFrame([(f"h{k}", f"/f{k}.doc") for k in range(40)] + [("bad", "/never.doc")], "file_hash string, path string")
+    told = []
+    rows = {r.file_hash: r for r in convert.run(files, bad_slot, os.path.exists, str(tmp_path / "o"), workers=3, retries=2, progress=told.append).collect()}
+    assert len(rows) == 41 and all(r.success for h, r in rows.items() if h != "bad") and not rows["bad"].success and rows["bad"].attempts == 3
+    again = [r for r in rows.values() if r.success and r.attempts == 2]
+    assert again and all([a.slot for a in r.history][0] == 0 != r.history[1].slot and r.history[0].error == "out of order" for r in again)
+    assert [t.round for t in told] == [1, 2, 3] and told[-1] == (3, 40, 1, 0) and told[0].done + told[0].failed == 41 and told[0].pending == told[0].failed
+    assert convert.run(files.where("false"), bad_slot, os.path.exists, str(tmp_path / "o")).count() == 0
+
+
 def test_command_line(spark, folder, tmp_path, capsys):
     from corvidex.__main__ import main
 
