@@ -29,7 +29,7 @@ OUTWEIGH = 5
 #: One run in so many, by its hash, loses a code point.
 SLIP = 199
 #: Words and code points of an automaton, and words that one task scans with it; both are means of hashed parts.
-SHARD_WORDS, SHARD_CHARS, SCAN_WORDS = 200_000, 4_000_000, 800_000
+SHARD_WORDS, SHARD_CHARS, SCAN_WORDS = 200_000, 4_000_000, 200_000
 #: Lengths up to this have a band of their own; beyond, a band holds lengths within an eighth.
 EXACT = 40
 #: Code points of a half that stand in the automaton, those next to its mark: links of very long words would form long chains.
