@@ -30,8 +30,6 @@ from . import common
 
 #: Labelled rows that are learned from, at most; the bound keeps the broadcast and the driver's matrix small.
 SAMPLE = 20_000
-#: Lexicon entries, at most.
-LEXICON = 2_000
 #: Lengths of word beginnings that may be entries, in code points.
 STEMS = (4, 5, 6)
 
@@ -206,16 +204,22 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int =
     return w[:-1], float(w[-1])
 
 
-def weigh(counts: Iterable[tuple[str, int, int]], positive: int, negative: int, most: int) -> dict[str, float]:
-    """Entries whose presence speaks for the label, with their log odds: no entry that another one covers."""
-    found = []
+#: What speaks for the label: rows, how many times the others, and log odds less twice their error.
+LEAST_ROWS, TIMES, LEAST_ODDS = 3, 4, 1.5
+
+
+def weigh(counts: Iterable[tuple[str, int, int]], positive: int, negative: int) -> dict[str, float]:
+    """Entries whose presence speaks for the label, with their log odds: no entry that another one covers.
+
+    Evidence decides, not a number of entries. Entries that speak equally are
+    all kept; their order doesn't matter.
+    """
+    odds_of, rows = {}, {}
     for term, n1, n0 in counts:
         odds = math.log((n1 + 0.5) / (positive + 1)) - math.log((n0 + 0.5) / (negative + 1))
         # Chance alone gives rare terms high odds: ask for several rows and for high precision.
-        if n1 >= 3 and n1 >= 4 * n0 and odds - 2 / math.sqrt(n1) > 1.5:
-            found.append((n1 * odds, term, odds, n1))
-    found.sort(reverse=True)
-    rows = {term: n1 for _, term, _, n1 in found[:most]}
+        if n1 >= LEAST_ROWS and n1 >= TIMES * n0 and odds - 2 / math.sqrt(n1) > LEAST_ODDS:
+            odds_of[term], rows[term] = odds, n1
     # A beginning that stands in hardly more rows than one longer entry says nothing that this doesn't say more precisely.
     largest: dict[str, int] = defaultdict(int)
     for term, n1 in rows.items():
@@ -223,14 +227,15 @@ def weigh(counts: Iterable[tuple[str, int, int]], positive: int, negative: int,
             if k < len(term.rstrip("*")):
                 largest[f"{term[:k]}*"] = max(largest[f"{term[:k]}*"], n1)
     kept = {t for t, n1 in rows.items() if largest[t] < 0.9 * n1}
-    return {term: odds for _, term, odds, _ in found[:most] if term in kept and not any(f"{term[:k]}*" in kept for k in STEMS if k < len(term.rstrip("*")))}
+    return {term: odds for term, odds in sorted(odds_of.items()) if term in kept and not any(f"{term[:k]}*" in kept for k in STEMS if k < len(term.rstrip("*")))}
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = LEXICON) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Learn from at most ``sample`` labelled rows, taken by a hash of their number, none of them held out.
 
     ``labels`` with a null number or label don't count; of several labels for a
-    document the greatest does. Without any that counts, every text scores 1/3.
+    document the greatest does. Labels of one class alone tell nothing apart:
+    without one that is clean every text scores 1/3, without a toxic one less.
     """
     common.arrow_batches(docs.sparkSession)
     chosen = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) != 0)
@@ -246,9 +251,11 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int =
             yield pa.RecordBatch.from_pydict({"term": pa.array(counts.keys(), pa.string()), "n1": pa.array([c[1] for c in counts.values()], pa.int64()), "n0": pa.array([c[0] for c in counts.values()], pa.int64())})
 
     n, positive = rows.agg(F.count("*"), F.coalesce(F.sum((F.col("toxic") > 0).cast("int")), F.lit(0))).first()
-    grouped = rows.mapInArrow(terms, "term string, n1 long, n0 long").groupBy("term").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).where("n1 >= 3 AND n1 >= 4 * n0")
-    best = grouped.orderBy(F.desc("n1"), "term").limit(20 * most)
-    lexicon = weigh(((r.term, r.n1, r.n0) for r in best.toLocalIterator()), positive, n - positive, most)
+    grouped = rows.mapInArrow(terms, "term string, n1 long, n0 long").groupBy("term").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
+    # The same test as ``weigh``'s, where the counts are: what comes back are words of at most ``sample`` rows that speak for the label.
+    odds = F.log((F.col("n1") + 0.5) / (positive + 1)) - F.log((F.col("n0") + 0.5) / (n - positive + 1))
+    speak = grouped.where((F.col("n1") >= LEAST_ROWS) & (F.col("n1") >= TIMES * F.col("n0")) & (odds - 2 / F.sqrt("n1") > LEAST_ODDS - 1e-9))
+    lexicon = weigh(((r.term, r.n1, r.n0) for r in speak.toLocalIterator()), positive, n - positive)
     reader_of = docs.sparkSession.sparkContext.broadcast(lexicon)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,7 +266,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int =
 
     seen = rows.mapInArrow(measure, "x array<double>, y int").collect()  # at most ``sample`` rows of eight numbers
     if not positive or positive == n:
-        return Model(lexicon, (0.0,) * len(FEATURES), math.log((positive + 0.5) / (n - positive + 1)))
+        return Model(lexicon, (0.0,) * len(FEATURES), math.log(0.5 / (n - positive + 1)))
     w, b = fit_logistic(np.array([r.x for r in seen]), np.array([r.y for r in seen], float))
     return Model(lexicon, tuple(w.tolist()), b)
 

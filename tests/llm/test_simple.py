@@ -262,3 +262,15 @@ def test_private_keys(docs):
     for k, text in enumerate(texts):
         found = duckdb.execute("SELECT regexp_extract_all(?, ?, 0)", [text, rule.sql]).fetchone()[0]
         assert found == [text[a:z] for a, z in rows[k]], k
+
+
+def test_toxicity_labels_of_one_class(docs, spark):
+    """Labels of one class call nothing toxic, and evidence alone bounds the lexicon."""
+    label = lambda rows: spark.createDataFrame(rows, "doc_id long, toxic int, score string")
+    some = docs([(1, "you stupid fool"), (2, ""), (3, None), (4, "a fine day"), (4, "a fine day")])
+    for labels in ([(1, 1, "x")], [(1, 1, "x"), (2, 1, "x"), (4, 1, "x")], [(1, 0, "x"), (4, 0, "x")], [(None, 1, "x"), (1, None, "x")]):
+        found = toxicity.score(some, toxicity.learn(some, label(labels))).collect()
+        assert len(found) == 5 and all(r.predicted == 0 and 0 < r.score < 0.5 for r in found)
+    assert len(toxicity.weigh(((f"w{k}", 10, 0) for k in range(5000)), 100, 100)) == 5000
+    same = [("aaaa", 10, 0), ("bbbb", 10, 0), ("cccc", 2, 0), ("dddd", 10, 9)]
+    assert toxicity.weigh(same, 100, 100) == toxicity.weigh(same[::-1], 100, 100) and set(toxicity.weigh(same, 100, 100)) == {"aaaa", "bbbb"}
