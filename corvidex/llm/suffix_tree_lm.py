@@ -65,6 +65,8 @@ _U = np.uint64
 _ROWS = pa.schema([("shard", pa.int64()), ("bucket", pa.int64()), ("blob", pa.binary())])
 _ROWS_SQL = "shard long, bucket long, blob binary"
 WORDS_A_BUCKET = 400_000
+#: Bytes of a word that are read one after the other.
+PIECE = 1024
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -285,21 +287,32 @@ class Automaton:
     contexts: list[bytes]
 
     def score(self, words: list[bytes]) -> np.ndarray:
-        """The log10 probability of each word with its blank."""
+        """The log10 probability of each word with its blank.
+
+        All words take a step together. A long word is cut into pieces that do
+        so too: a state is at most as long as the longest context, so a piece
+        that first reads as many bytes before it is in the state that it would
+        have been in.
+        """
         symbols, starts = spell(words)
         lens = np.diff(np.append(starts, len(symbols)))
-        order = np.argsort(-lens, kind="stable")
-        starts, lens = starts[order], lens[order]
-        state, out = np.full(len(words), self.start, np.int32), np.zeros(len(words))
-        live = len(words)
-        for t in range(int(lens[0]) if len(lens) else 0):
-            live = int(np.searchsorted(-lens[:live], -t, "left"))
-            s = symbols[starts[:live] + t]
-            out[:live] += self.cost[state[:live], s]
+        warm = max(map(len, self.contexts))
+        pieces = np.maximum(1, -(-lens // PIECE))
+        word = np.repeat(np.arange(len(words)), pieces)
+        nth = np.arange(len(word)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        before = np.where(nth > 0, warm, 0)
+        first = starts[word] + nth * PIECE - before
+        size = np.minimum(PIECE, lens[word] - nth * PIECE) + before
+        order = np.argsort(-size, kind="stable")
+        word, before, first, size = word[order], before[order], first[order], size[order]
+        state, cost = np.full(len(word), self.start, np.int32), np.zeros(len(word))
+        live = len(word)
+        for t in range(int(size[0]) if len(size) else 0):
+            live = int(np.searchsorted(-size[:live], -t, "left"))
+            s = symbols[first[:live] + t]
+            cost[:live] += np.where(before[:live] <= t, self.cost[state[:live], s], 0)
             state[:live] = self.step[state[:live], s]
-        back = np.empty(len(words))
-        back[order] = out
-        return back
+        return np.bincount(word, cost, minlength=len(words))
 
 
 def grow(counts: dict[bytes, dict[int, int]], least_share: float, divergence: float, smoothing: float) -> Automaton:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -80,6 +81,25 @@ def test_spelling_in_batches():
     assert np.allclose(a.score(words), [a.score([w])[0] for w in words])
 
 
+def test_long_words_in_pieces():
+    """A word of any length is scored in pieces of bounded steps, as if byte after byte."""
+    rng = random.Random(2)
+    grams = {b"": dict(Counter(b"abcab  ")), b"a": {98: 5, 99: 1}, b"ca": {97: 4, 98: 1}, b"bca": {98: 9}, b" ": {97: 3}}
+    a = lm.grow(grams, 0.0, 0.0, 1.0)
+    words = [bytes(rng.choices(b"abc", k=k)) for k in (1, 1022, 1023, 1024, 1025, 5000, 3 * 1024)]
+
+    def plain(word):
+        state, total = a.start, 0.0
+        for s in word + b" ":
+            total, state = total + float(a.cost[state, s]), a.step[state, s]
+        return total
+
+    assert np.allclose(a.score(words), [plain(w) for w in words])
+    began = time.monotonic()
+    a.score([b"x" * 3_000_000])
+    assert time.monotonic() - began < 10
+
+
 def test_merged_contexts():
     numbers = lambda *x: np.array(x, np.uint64)
     unlikely = lambda n: np.full(n, -4, np.float16)
