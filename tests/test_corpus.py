@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from corvidex.adapters import office, pdf, tesseract
 from corvidex.operators import convert, inventory, manifest, ocr, profile, reports, triage
 from corvidex.sources import listing, recognized
-from corvidex.streaming import ingest
+from corvidex.streaming import ingest, progress
 
 CONTENT = {"a.txt": b"hello", "sub/b.PDF": b"%PDF-1.7 /Encrypt", "sub/copy.txt": b"hello", ".hidden": b"x", "_under.md": "grün".encode(), "empty.txt": b"", "noext": b"PK\x03\x04", "old.doc": b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1rest", "x/old.doc": b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1other", "OLD.DOC": b"upper"}
 
@@ -204,6 +205,15 @@ def test_stream(spark, folder, tmp_path):
     hello = found[hashlib.sha256(b"hello").hexdigest()]
     assert hello.path.endswith("/zzz.txt") and hello.status == "processed" and len(found) == n + 2
     run()  # nothing new
+    (folder / "last.txt").write_bytes(b"last")
+    with progress.Progress(spark) as seen:
+        run()
+        for _ in range(100):  # events come a moment later
+            if seen.files and not seen.running:
+                break
+            time.sleep(0.1)
+    assert (seen.files, seen.batches, seen.failed, seen.running) == (1, 1, 0, 0) and seen.contents > n
+    found[hashlib.sha256(b"last").hexdigest()] = manifest.load(spark, root).where("path LIKE '%/last.txt'").first()
     assert {h: r.path for h, r in found.items()} == {r.file_hash: r.path for r in manifest.load(spark, root).collect()}
 
 
@@ -270,11 +280,14 @@ def test_command_line(spark, folder, tmp_path, capsys):
     main(["inventory", str(folder)])
     main(["triage", str(folder), "--manifest", str(tmp_path / "m")])
     main(["triage", str(folder), "--manifest", str(tmp_path / "m")])
+    main(["ingest", str(folder), "--manifest", str(tmp_path / "m2"), "--checkpoint", str(tmp_path / "c")])
     said = capsys.readouterr().out
-    assert "TOTAL" in said and "word_legacy" in said
+    assert "TOTAL" in said and "word_legacy" in said and f"{len(set(CONTENT.values()))} contents" in said
     assert manifest.load(spark, str(tmp_path / "m")).count() == len(set(CONTENT.values()))
     with pytest.raises(SystemExit):
         main(["triage", str(folder)])
+    with pytest.raises(SystemExit):
+        main(["ingest", str(folder), "--manifest", str(tmp_path / "m2")])
 
 
 def test_functions_for_sql(spark):
