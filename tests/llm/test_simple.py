@@ -85,11 +85,11 @@ def test_decontaminate(docs, spark):
     texts = [*ODD, items[0][1].upper().replace("ÉTÉ", "ÉTÉ"), "pre " + items[0][1].replace(" ", " -- ") + " post", "so a short item, here", "shorter item", "the the the the", "x" + items[5][1], " ".join(vocabulary * 40) + items[5][1]]
     bench = spark.createDataFrame(items, "item_id long, text string")
     want = list(plain_contamination(texts, items))
-    for block in (1 << 20, 40):
-        out = decontaminate.digest(decontaminate.scan(docs(texts, extra=True), bench, block_bytes=block))
+    for block in (1 << 20, 3000, 40):
+        out = decontaminate.digest(decontaminate.scan(docs(texts, extra=True), bench, most_nodes=block))
         got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in out.collect()}
         assert [got[k] for k in range(len(texts))] == want
-        kept = {r.doc_id for r in decontaminate.keep(docs(texts), bench, block_bytes=block).collect()}
+        kept = {r.doc_id for r in decontaminate.keep(docs(texts), bench, most_nodes=block).collect()}
         assert kept == {k for k, w in enumerate(want) if not w[4]}
     spans = {r.doc_id: r.spans for r in decontaminate.scan(docs(texts), bench).collect()}
     a, b = spans[len(ODD) + 2][0]
@@ -97,6 +97,27 @@ def test_decontaminate(docs, spark):
     assert decontaminate.digest(decontaminate.scan(docs(texts), bench.where("false"))).where("n_hit > 0").count() == 0
 
 
+def test_decontaminate_blocks(docs, spark, monkeypatch):
+    """Long items are cut into pieces that lose no window, automata keep to their bound, and repeated rows come back as often."""
+    rng = random.Random(7)
+    words = [f"w{k}" for k in range(3000)]
+    long, other = " ".join(rng.choices(words, k=700)), " ".join(rng.choices(words, k=40))
+    bench = spark.createDataFrame([(1, long), (2, other), (3, long)], "item_id long, text string")
+    monkeypatch.setattr(decontaminate, "PIECE_WORDS", 50)
+    blocks = list(decontaminate._blocks(bench, 13, 20_000))
+    sizes = [decontaminate.Scanner(b).automaton.get_stats()["nodes_count"] for b in blocks]
+    assert len(blocks) > 5 and max(sizes) <= 20_000 + 20_000 / 2
+    pieces = [w for b in blocks for _, t in b for w in decontaminate.windows(t)]
+    assert set(pieces) == decontaminate.windows(long.encode()) | decontaminate.windows(other.encode())
+    cut = long.split()
+    texts = [(1, " ".join(cut[40:70])), (1, " ".join(cut[40:70])), (1, "another text"), (None, other), (2, None), (3, " ".join(cut[:13] + ["x"] * 400)), (4, "x " * 20_000 + other)]
+    for most in (20_000, 10**7):
+        rows = sorted(tuple(r) for r in decontaminate.digest(decontaminate.scan(docs([t for t in texts if t[0]], extra=True), bench, most_nodes=most)).select("doc_id", "n_words", "n_hit", "n_items", "contaminated").collect())
+        assert rows == [(1, 2, 0, 0, False), (1, 30, 30, 2, True), (1, 30, 30, 2, True), (2, 0, 0, 0, False), (3, 413, 13, 2, False), (4, 20_040, 40, 1, False)]
+        kept = decontaminate.keep(docs(texts, extra=True), bench, most_nodes=most)
+        assert sorted((r.doc_id or 0, len(r.text or "")) for r in kept.collect()) == sorted((i or 0, len(t or "")) for i, t in texts if t not in (texts[0][1], other)) and "score" in kept.columns
+
+
 # --- secrets ---------------------------------------------------------------------------
 
 _BASE = (("assign", r"(?a:(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY]))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 6), ("access", r"(AKIA[A-Z0-9]+)", 20), ("hex", r"([0-9a-f]+)", 24))
