@@ -69,9 +69,11 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group_tokens: int = GROUP_T
     An item longer than ``capacity`` is cut into full pieces, bins by
     themselves, and a rest that is packed like other items. Rows are dealt into
     groups by a hash of the whole row, so that a hot source or cluster spreads
-    evenly; groups are packed independently. Every row comes back: one without tokens has no bin. A null
-    source or cluster conflicts with nothing; repeated rows are items of their
-    own.
+    evenly; groups are packed independently. Every row comes back: one without tokens has
+    no bin. A null source or cluster conflicts with nothing; repeated rows are
+    items of their own. Of bins that are equally tight the first one takes an
+    item, of equally long items the one with the least number goes first. An
+    item of any length makes as many pieces as it needs. Other columns aren't read.
     """
     items = common.materialize(items.select("doc_id", "source", "cluster", "n_tokens"), "pack-items")
     total, n = items.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.count("*")).first()

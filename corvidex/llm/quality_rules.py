@@ -118,7 +118,8 @@ def ledger(docs: DataFrame) -> DataFrame:
     """``doc_id``, all measurements and ``failed_bits``: one row per input row, in one pass without a shuffle.
 
     A null text has no words. Rows are independent: repeated rows and a null
-    ``doc_id`` come back as they are; other columns of ``docs`` are not read.
+    ``doc_id`` come back as they are, so there are no ties. Texts are measured
+    whole, one at a time; other columns of ``docs`` are not read.
     """
     common.arrow_batches(docs.sparkSession)
 

@@ -90,7 +90,8 @@ def scan(blobs: DataFrame, rules: tuple[SecretRule, ...] = RULES, version: int =
 def update(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[SecretRule, ...] = RULES, version: int = RULE_VERSION) -> DataFrame:
     """The ledger rows that ``docs`` adds to ``ledger``: unseen pairs of blob and rule version.
 
-    Null texts count as empty. Copies share a blob, which is scanned once.
+    Null texts count as empty. Copies and repeated rows share a blob, which is
+    scanned once. Texts are scanned whole, however long.
     """
     texts = docs.select(blob().alias("blob"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     if ledger is not None:
@@ -99,7 +100,11 @@ def update(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Secret
 
 
 def find(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[SecretRule, ...] = RULES, version: int = RULE_VERSION) -> DataFrame:
-    """``doc_id, blob, findings`` for every row of ``docs``; findings are ordered by start, then kind."""
+    """``doc_id, blob, findings`` for every row of ``docs``; findings are ordered by start, then kind.
+
+    Repeated rows come back as often, a null number too, and rows of one number
+    have the findings of their own texts. Other columns aren't read.
+    """
     fresh = common.materialize(update(docs, ledger, rules, version), "secret-ledger")
     book = fresh if ledger is None else fresh.unionByName(ledger.where(F.col("rule_version") == version).select(*fresh.columns))
     hits = book.where(F.size("findings") > 0).select("blob", "findings").dropDuplicates(["blob"])

@@ -279,7 +279,9 @@ def held_out(doc_id: int | None) -> bool:
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, held_out, score, predicted, n_clauses`` for every row of ``docs``, in one pass without a shuffle.
 
-    Null texts are empty and score by the bias alone. Other columns aren't read.
+    Null texts are empty and score by the bias alone. Texts are read whole, in
+    time proportional to their length. Repeated rows come back as often, a null
+    number too; equal texts have equal scores. Other columns aren't read.
     """
     common.arrow_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)

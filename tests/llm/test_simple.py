@@ -225,6 +225,40 @@ def test_sharding_versions(docs, tmp_path, spark):
     assert store.vacuum() == 3 and store.read().count() == 4
 
 
+def plain_best_fit(sizes, sources, clusters, capacity):
+    """Every bin is looked at for each item."""
+    bins, out = [], []
+    for size, s, c in zip(sizes, sources, clusters, strict=True):
+        fit = [(b["left"], k) for k, b in enumerate(bins) if b["left"] >= size and not (s >= 0 and s in b["s"]) and not (c >= 0 and c in b["c"])]
+        k = min(fit)[1] if fit else len(bins)
+        if not fit:
+            bins.append({"left": capacity, "s": set(), "c": set()})
+        out.append((k, capacity - bins[k]["left"]))
+        bins[k]["left"] -= size
+        bins[k]["s"].add(s)
+        bins[k]["c"].add(c)
+    return [k for k, _ in out], [at for _, at in out]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_best_fit_against_every_bin(seed):
+    r = random.Random(seed)
+    sizes = sorted((r.randint(1, 60) for _ in range(400)), reverse=True)
+    sources, clusters = [r.choice((-1, 0, 0, *range(30))) for _ in sizes], [r.choice((-1, -1, *range(9))) for _ in sizes]
+    assert packing.best_fit(sizes, sources, clusters, 100) == plain_best_fit(sizes, sources, clusters, 100)
+
+
+def test_packing_of_odd_rows(docs):
+    """Repeated rows, no texts, a text of many bins and columns of clashing names: every piece is somewhere once."""
+    rows = [(1, "a b c"), (1, "a b c"), (1, "other words"), (None, "x y"), (2, None), (3, ""), (4, "w " * 25_003)]
+    found = packing.pack(packing.measure(docs(rows, extra=True))).collect()
+    assert sorted((r.doc_id or 0, r.n_tokens) for r in found if r.doc_id != 4) == [(0, 2), (1, 2), (1, 3), (1, 3), (2, 0), (3, 0)]
+    long = sorted((r.doc_start, r.n_tokens) for r in found if r.doc_id == 4)
+    assert sum(n for _, n in long) == 25_003 and [a for a, _ in long] == [k * packing.CAPACITY for k in range(len(long))]
+    copies = [r.bin_id for r in found if (r.doc_id, r.n_tokens) == (1, 3)]
+    assert len(set(copies)) == 2 and packing.pack(packing.measure(docs([]))).count() == 0
+
+
 # --- toxicity ---------------------------------------------------------------------------------
 
 
