@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import hashlib
 import random
 import re
@@ -149,12 +150,33 @@ def test_ledger_scans_unseen_pairs_only(docs):
     assert first.count() == 2
     more = docs(["b", "a password=abcdef", "a password=abcdef", "new token=abcdef"])
     assert secret_scan.update(more, first).count() == 1
-    assert secret_scan.update(more, first, version=secret_scan.RULE_VERSION + 1).count() == 3
+    bumped = tuple(dataclasses.replace(r, version=r.version + 1) for r in secret_scan.RULES)
+    assert secret_scan.update(more, first, bumped).count() == 3
     found = {r.doc_id: len(r.findings) for r in secret_scan.find(more, first).collect()}
     assert found == {0: 0, 1: 1, 2: 1, 3: 1}
     assert secret_scan.find(docs([])).count() == 0
 
 
+def test_durable_ledger(docs, spark, tmp_path):
+    """Runs meet what earlier ones wrote: only a changed rule is applied to known texts, and its old findings count no more."""
+    path, rules = str(tmp_path / "ledger"), secret_scan.RULES
+    texts = ["a password=abcdef AKIA" + "Z" * 16, "clean", None, "x" * 50_000 + " token=abcdef"]
+    assert secret_scan.append(docs(texts), path).count() == 4 and secret_scan.append(docs(texts), path).count() == 4
+    plain = {r.doc_id: r.findings for r in secret_scan.find(docs(texts)).collect()}
+    assert {r.doc_id: r.findings for r in secret_scan.find(docs(texts), secret_scan.read_ledger(spark, path)).collect()} == plain
+    # The access rule now asks for more, and a rule is new; the others keep their versions.
+    changed = tuple(dataclasses.replace(r, least=30, version=2) if r.kind == "access" else r for r in rules) + (secret_scan.SecretRule("clean", "(clean)", 1, 1, "true", False),)
+    fresh = secret_scan.update(docs([*texts, "new AKIA" + "Q" * 30]), secret_scan.read_ledger(spark, path), changed).collect()
+    assert sorted(len(r.scanned) for r in fresh) == [2, 2, 2, 2, len(changed)] and {tuple(sorted(r.scanned)) for r in fresh if len(r.scanned) == 2} == {("access:2", "clean:1")}
+    book = secret_scan.append(docs([*texts, "new AKIA" + "Q" * 30]), path, changed)
+    assert book.count() == 9
+    got = {r.doc_id: [(f.kind, f.start, f.end) for f in r.findings] for r in secret_scan.find(docs([*texts, "new AKIA" + "Q" * 30]), book, changed).collect()}
+    assert got == {0: [("assign", 2, 17)], 1: [("clean", 0, 5)], 2: [], 3: [("assign", 50_001, 50_013)], 4: [("access", 4, 38)]}
+    # With the former rules the ledger has all that they found.
+    assert {r.doc_id: r.findings for r in secret_scan.find(docs(texts), book).collect()} == plain
+    assert {r.doc_id: r.text for r in secret_scan.redact(docs(texts), book).collect()} == {r.doc_id: r.text for r in secret_scan.redact(docs(texts)).collect()}
+
+
 def test_redact(docs):
     texts = ["x password=" + "0123456789abcdef" * 2 + " y", "clean", None, "token=abcdef", "a AKIA" + "Z" * 16 + " b secret=qwerty1"]
     rows = {r.doc_id: r for r in secret_scan.redact(docs(texts)).collect()}
