@@ -206,6 +206,8 @@ def manifest_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = f"{storage.shared_folder(spark)}/corvidex/manifest-{uuid.uuid4().hex}"
     last = triage.last_by_path(facts.contents(spark, sf_dir))
     manifest.commit(triage.entries(facts.contents(spark, sf_dir).withColumn("header", F.substring(F.col("text").cast("binary"), 1, 16))), root, "triage")
+    file_system, at = storage.hadoop(spark, root)
+    file_system.deleteOnExit(at)
     even, third = F.col("length") % 2 == 0, F.col("length") % 3 == 0
     manifest.commit(last.select("file_hash", "path", F.when(even, "pdf_from_doc").otherwise("other").alias("lane"), F.when(even, "done").otherwise("failed").alias("convert_status"), F.lit(None).cast("string").alias("converted_pdf")), root, "convert")
     manifest.commit(last.select("file_hash", F.when(third, "done").alias("ocr_status"), F.lit(None).cast("string").alias("ocr_output")), root, "ocr")
