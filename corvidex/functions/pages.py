@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,12 +25,16 @@ def upper_median(values: Column) -> Column:
 def heading_count(spans: Column, text_chars: Column, least_chars: int = rules.SCANNED_CHARS, factor: float = rules.HEADING_FACTOR) -> Column:
     """Spans that are clearly larger than the median span; blank spans don't count."""
     sizes = F.transform(F.filter(spans, lambda s: strip_length(s["text"]) > 0), lambda s: s["size"])
-    return F.when((text_chars >= least_chars) & (F.size(sizes) > 0), larger_than_median(sizes, factor)).otherwise(F.lit(0))
+    return _once(sizes, lambda found: F.when((text_chars >= least_chars) & (F.size(found) > 0), larger_than_median(found, factor)).otherwise(F.lit(0)))
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with ``value`` computed once however often it is used; inside a lambda it would be for each element."""
+    return F.transform(F.array(value), use)[0]
 
 
 def larger_than_median(sizes: Column, factor: float = rules.HEADING_FACTOR) -> Column:
-    median = upper_median(sizes)
-    return F.size(F.filter(sizes, lambda x: x > median * F.lit(factor)))
+    return _once(upper_median(sizes), lambda median: F.size(F.filter(sizes, lambda x: x > median * F.lit(factor))))
 
 
 def page_class(text_chars: Column, image_ratio: Column, table_ratio: Column, has_table: Column, headings: Column) -> Column:

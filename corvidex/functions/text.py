@@ -14,8 +14,9 @@ def strip(text: Column) -> Column:
 
 
 def strip_length(text: Column) -> Column:
-    """Code points without the white space around them."""
-    return F.length(strip(text))
+    """Code points without the white space around them; a text is searched only if it has some at an end."""
+    ends = F.concat(F.substring(text, 1, 1), F.right(text, F.lit(1)))
+    return F.when(ends.rlike(_SPACE), F.length(strip(text))).otherwise(F.length(text))
 
 
 def error_tail(message: Column, most: int) -> Column:
