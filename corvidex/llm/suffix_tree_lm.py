@@ -21,7 +21,10 @@ sums to one.
 Texts become word numbers once. Words and contexts are counted across shards by
 sorted lists of distinct entries, a length of contexts after the other, so the
 network carries an entry once per shard whatever its frequency, and spelled
-probabilities are computed once per distinct word of the corpus.
+probabilities are computed once per distinct word of the corpus. Whoever counts
+a context with the word after it sees whether several shards have them; as the
+next length's contexts, only those go into lists again. What one shard alone has
+is judged there, by the same rule.
 """
 
 from __future__ import annotations
@@ -35,13 +38,12 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .shingles import mix
-from .suffix_dedup import _cut
 
 DEPTH = 5
 #: A state's share of all training symbols is at least this, which bounds the states of a depth by its inverse.
@@ -82,30 +84,55 @@ def held_out(doc_id: int | None) -> bool:
 # --- words ------------------------------------------------------------------
 
 
-_START = _U((1 << 64) - 1)  #: stands for the word before a text
+LONE = _U((1 << 64) - 1)  #: the name of every context that one shard alone has
+
+
+@dataclass(frozen=True)
+class _Names:
+    """Names of contexts that shards agree on: the bucket that is to count one, then the bucket and the place where its last word was counted."""
+
+    buckets: int
+    words: int  #: buckets of words
+
+    @property
+    def width(self) -> int:
+        return max(self.buckets, self.words + 1).bit_length()
+
+    def of(self, bucket: int | np.ndarray, place: np.ndarray) -> np.ndarray:
+        every, place = _U(self.buckets), place.astype(_U)
+        if len(place) and int(place.max()) // self.buckets >= 1 << (64 - 2 * self.width):
+            raise ValueError("a bucket has too many contexts to name them")
+        return place % every << _U(64 - self.width) | np.asarray(bucket).astype(_U) << _U(64 - 2 * self.width) | place // every
+
+    def cut(self, names: np.ndarray) -> np.ndarray:
+        """Where each bucket begins among sorted names, and where the last one ends."""
+        return np.append(np.searchsorted(names, np.arange(self.buckets, dtype=_U) << _U(64 - self.width)), len(names))
 
 
 def _numbered(blob: bytes, buckets: int) -> tuple[bytes, bytes]:
     """The distinct words of a shard by bucket and in order, and its texts as numbers of those words, an end after each text."""
     ids, known, lens, text = common.unpack_texts(blob)
-    index: dict[bytes, int] = {b"": 0}
-    parts, at = [], 0
-    for n in lens.tolist():
-        ws = tokens(text[at : at + n])
-        at += n
-        for w in set(ws).difference(index):
-            index[w] = len(index)
-        parts.append(np.fromiter(map(index.__getitem__, ws), np.int32, len(ws)))
-        parts.append(np.zeros(1, np.int32))
-    words = list(index)
+    offsets = np.concatenate(([0], np.cumsum(lens))).astype(np.int64)
+    texts = pa.LargeStringArray.from_buffers(len(lens), pa.py_buffer(offsets), pa.py_buffer(text))
+    # The functions for ASCII leave other bytes alone; they find an empty word at the ends of some texts.
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    owner = np.repeat(np.arange(len(lens)), pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64))
+    coded = split.flatten().dictionary_encode()
+    words = coded.dictionary.cast(pa.large_binary()).to_pylist()
+    if b"" not in words:
+        words.append(b"")
+    end = words.index(b"")
+    found = coded.indices.to_numpy(zero_copy_only=False)
+    owner, found = owner[found != end], found[found != end]
+    lens = np.bincount(owner, minlength=len(lens)) + 1
+    numbers = np.full(len(found) + len(lens), end, np.int32)
+    numbers[np.arange(len(found)) + owner] = found
     bucket = (np.fromiter(map(xxhash.xxh3_64_intdigest, words), _U, len(words)) % _U(buckets)).astype(np.int64)
     order = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
     order = order[np.argsort(bucket[order], kind="stable")]
     number = np.empty(len(words), np.int32)
     number[order] = np.arange(len(words), dtype=np.int32)
-    lens = np.fromiter(map(len, parts[::2]), np.int64, len(parts) // 2) + 1
-    numbers = number[np.concatenate(parts)] if parts else np.empty(0, np.int32)
-    return common.zstandard.compress(b" ".join([words[k] for k in order.tolist()]), 1), common.squeeze(ids, known.astype(np.uint8), lens, numbers, np.bincount(bucket, minlength=buckets))
+    return common.zstandard.compress(b" ".join([words[k] for k in order.tolist()]), 1), common.squeeze(ids, known.astype(np.uint8), lens, number[numbers], np.bincount(bucket, minlength=buckets))
 
 
 class _Shard:
@@ -124,81 +151,104 @@ class _Shard:
     def counts(self) -> np.ndarray:
         return np.bincount(self.tokens[self.trains], minlength=int(self.cut[-1]))
 
-    def read(self, rows: list[dict], order: int) -> tuple[_Contexts, np.ndarray, np.ndarray]:
+    def read(self, rows: list[dict], order: int, names: _Names) -> tuple[_Contexts, np.ndarray, np.ndarray]:
         """The contexts of ``order`` words, by the answers on shorter ones; each token's log10 probability under the longest state by then, and each word's count."""
-        count, root, name = np.zeros(int(self.cut[-1]), np.int64), np.zeros(int(self.cut[-1])), np.zeros(int(self.cut[-1]), _U)
+        size = int(self.cut[-1])
+        count, root, word, key = np.zeros(size, np.int64), np.zeros(size), np.zeros(size, _U), np.full(size + 1, LONE)
         for r in rows:
             if r["kind"] == 0:
                 a, z = self.cut[r["bucket"]], self.cut[r["bucket"] + 1]
-                count[a:z], root[a:z], name[a:z] = common.expand(r["blob"])
-                name[a:z] |= _U(r["bucket"]) << _U(32)
+                count[a:z], root[a:z], number, shared = common.expand(r["blob"])
+                word[a:z] = number | _U(r["bucket"]) << _U(32)
+                key[a:z] = np.where(shared, names.of(r["bucket"], number), LONE)
+        # The start of a text has a bucket of its own.
+        key[size] = names.of(len(self.cut) - 1, np.zeros(1, _U))[0]
         p = root[self.tokens]
-        found = _Contexts.of_one(self, name, count)
+        found = _Contexts.of_one(self, word, key, count, names)
         for k in range(1, order):
-            found = found.longer(found.apply([r for r in rows if r["kind"] == k], p))
+            found = found.longer(*found.apply([r for r in rows if r["kind"] == k], p))
         return found, p, count
 
 
+def _arranged(code: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of so many bits in order and where each came from; where both fit one number, these are sorted."""
+    place = len(code).bit_length()
+    if bits + place > 63:
+        by = np.argsort(code)
+        return code[by], by
+    both = code << place | np.arange(len(code))
+    both.sort()
+    return both >> place, both & ((1 << place) - 1)
+
+
 class _Contexts:
-    """The distinct pairs of a context of one length and the word after it, in order of the contexts, and the pair of each token that has one."""
+    """The distinct pairs of a context of one length and the word after it, in order of the contexts' names, and the pair of each token that has one."""
 
-    def __init__(self, own: _Shard, name: np.ndarray, context: np.ndarray, key: np.ndarray):
-        """``context`` is each token's, a number of ``key``, or -1."""
-        self.own, self.name = own, name
+    def __init__(self, own: _Shard, word: np.ndarray, names: _Names, context: np.ndarray, key: np.ndarray):
+        """``context`` is each token's, a number of ``key``, or -1; ``key`` has the names."""
+        self.own, self.word, self.names = own, word, names
         self.at = np.flatnonzero(context >= 0).astype(np.int32)
-        # Contexts are dealt by their keys, so they come in that order.
         order = np.argsort(key)
         rank = np.empty(len(key), np.int64)
         rank[order] = np.arange(len(key))
-        code = rank[context[self.at]] << 32 | own.tokens[self.at]
-        del order, rank, context
-        by = np.argsort(code)
-        ranked = code[by]
-        del code
+        bits = len(word).bit_length()
+        ranked, by = _arranged(rank[context[self.at]] << bits | own.tokens[self.at], bits + len(key).bit_length())
+        del rank, context
         head = np.concatenate(([True], ranked[1:] != ranked[:-1])) if len(ranked) else np.empty(0, bool)
         self.pair = np.empty(len(by), np.int32)
         self.pair[by] = np.cumsum(head, dtype=np.int32) - 1
         self.first = self.at[by[head]]  #: a token of each pair
-        of = (ranked[head] >> 32).astype(np.int32)
+        of = (ranked[head] >> bits).astype(np.int32)
         del by, ranked, head
         self.runs = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1]))) if len(of) else np.empty(0, np.int64)
-        self.key = np.sort(key)[of[self.runs]]
+        self.key = key[order[of[self.runs]]]
         self.lens = np.diff(np.append(self.runs, len(of)))
-        self.after = name[own.tokens[self.first]]
         self.times = np.bincount(self.pair[own.trains[self.at]], minlength=len(self.first)).astype(np.uint32)
+        #: Contexts that other shards have too, which come first, and their pairs.
+        self.shared = int(np.searchsorted(self.key, LONE))
+        self.listed = int(np.append(self.runs, len(of))[self.shared])
 
     @classmethod
-    def of_one(cls, own: _Shard, name: np.ndarray, count: np.ndarray) -> _Contexts:
+    def of_one(cls, own: _Shard, word: np.ndarray, key: np.ndarray, count: np.ndarray, names: _Names) -> _Contexts:
         context = np.full(len(own.tokens), -1, np.int32)
         context[1:] = own.tokens[:-1]
-        context[own.starts] = len(name)
+        context[own.starts] = len(word)
         often = np.append(count >= LEAST_TIMES, True)
-        return cls(own, name, np.where(often[context], context, np.int32(-1)), mix(np.append(name, _START)))
+        return cls(own, word, names, np.where(often[context], context, np.int32(-1)), key)
 
-    def longer(self, count: np.ndarray) -> _Contexts:
+    def longer(self, count: np.ndarray, key: np.ndarray) -> _Contexts:
         """Contexts of one word more: a pair that occurs often enough is the context of what follows."""
         context = np.full(len(self.own.tokens) + 1, -1, np.int32)
         context[self.at + 1] = np.where(count[self.pair] >= LEAST_TIMES, self.pair, np.int32(-1))
         context = context[:-1]
         context[self.own.starts] = -1
         del self.at, self.pair, self.first
-        return _Contexts(self.own, self.name, context, mix(np.repeat(self.key, self.lens) * _U(0xC2B2AE3D27D4EB4F) + mix(self.after)))
-
-    def lists(self, shard: int, buckets: int, p: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """The pairs by bucket: contexts, how many words follow each, the words, their counts, and log10 probabilities under the parent, to three digits."""
-        cut, ends = _cut(self.key, buckets), np.append(self.runs, len(self.first))
-        parent = p[self.first].astype(np.float16)
+        return _Contexts(self.own, self.word, self.names, context, key)
+
+    def lists(self, shard: int, p: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The pairs of shared contexts by bucket: steps between names, how many words follow each context, the words, their counts, and log10 probabilities under the parent, to three digits (0 for what never trains)."""
+        cut, ends = self.names.cut(self.key[: self.shared]), np.append(self.runs, len(self.first))
+        first = self.first[: self.listed]
+        after = self.word[self.own.tokens[first]]
+        parent = np.where(self.times[: self.listed] > 0, p[first], 0).astype(np.float16)
         blobs, numbers = [], []
         for b in np.flatnonzero(np.diff(cut)):
             a, z = ends[cut[b]], ends[cut[b + 1]]
             numbers.append(int(b))
-            blobs.append(common.squeeze(self.key[cut[b] : cut[b + 1]], self.lens[cut[b] : cut[b + 1]], self.after[a:z], self.times[a:z], parent[a:z]))
+            blobs.append(common.squeeze(np.diff(self.key[cut[b] : cut[b + 1]], prepend=_U(0)), self.lens[cut[b] : cut[b + 1]], after[a:z], self.times[a:z], parent[a:z]))
         yield common.table(_ROWS, shard=[shard] * len(blobs), bucket=numbers, blob=blobs)
 
-    def apply(self, rows: list[dict], p: np.ndarray) -> np.ndarray:
-        """Take the answers into ``p``; the count of each pair."""
-        parts = [common.expand(r["blob"]) for r in sorted(rows, key=lambda r: r["bucket"])]
-        c, n, types = (np.concatenate([x[k] for x in parts]) if parts else np.empty(0, np.int64) for k in range(3))
+    def apply(self, rows: list[dict], p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Take the answers into ``p``; the count of each pair, and its name as a context."""
+        rows = sorted(rows, key=lambda r: r["bucket"])
+        parts = [common.expand(r["blob"]) for r in rows]
+        key, at = np.full(len(self.first), LONE), 0
+        for r, (c, _, _, shared, steps) in zip(rows, parts, strict=True):
+            key[at : at + len(shared)][shared.astype(bool)] = self.names.of(r["bucket"], np.cumsum(steps))
+            at += len(c)
+        lone = self.times[self.listed :].astype(np.int64)
+        n, types = judge(self.runs[self.shared :] - self.listed, lone, p[self.first[self.listed :]].astype(np.float16))
+        c, n, types = (np.concatenate([*(x[k] for x in parts), mine]) for k, mine in enumerate((lone, n, types)))
         if len(c) != len(self.first) or len(n) != len(self.key):
             raise RuntimeError("an answer is missing")
         run = np.repeat(np.arange(len(n), dtype=np.int32), self.lens)
@@ -209,7 +259,7 @@ class _Contexts:
             at, of = at[state], of[state]
             weight = types[run[of]] * WORD_SMOOTHING
             p[at] = log_add(c[of], np.log10(weight) + p[at]) - np.log10(n[run[of]] + weight)
-        return c
+        return c, key
 
 
 def _words_blob(words: list[bytes], *columns: np.ndarray) -> bytes:
@@ -264,9 +314,13 @@ def _merge_words(depth: int):
         words = sorted(total)
         counts = np.fromiter((total[w] for w in words), np.int64, len(words))
         number = {w: k for k, w in enumerate(words)}
-        rows = [(-1, bucket, _words_blob(words, counts)), (-2, bucket, common.squeeze(*gram_counts(words, counts, depth)))]
-        for shard, own in zip(pdf["shard"], lists, strict=True):
-            rows.append((shard, bucket, common.squeeze(np.fromiter(map(number.__getitem__, own), np.uint32, len(own)))))
+        numbers = [np.fromiter(map(number.__getitem__, own), np.uint32, len(own)) for own in lists]
+        shards = np.zeros(len(words), np.int32)
+        for own in numbers:
+            shards[own] += 1
+        rows = [(-1, bucket, _words_blob(words, counts, (shards > 1).astype(np.uint8))), (-2, bucket, common.squeeze(*gram_counts(words, counts, depth)))]
+        for shard, own in zip(pdf["shard"], numbers, strict=True):
+            rows.append((shard, bucket, common.squeeze(own)))
         known = counts > 0
         rows.append((-3, bucket, common.squeeze(np.array([counts.sum(), known.sum(), total.get(b"", 0)], np.int64))))
         return pd.DataFrame(rows, columns=["shard", "bucket", "blob"])
@@ -415,7 +469,7 @@ def score(docs: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE,
     packed = common.pack(docs, "lm-shards", SHARD_BYTES)
     size = packed.agg(F.sum(F.length("docs"))).first()[0] or 0
     buckets = max(1, round(size * 2.5 / 40 / WORDS_A_BUCKET), min(8, size >> 20))
-    context_buckets = max(1, round(size * 2.5 / 6 / CONTEXTS_A_BUCKET), min(8, size >> 20))
+    names = _Names(max(1, round(size * 2.5 / 6 / CONTEXTS_A_BUCKET), min(8, size >> 20)), buckets)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, blob in common.each_shard(batches):
@@ -456,7 +510,7 @@ def score(docs: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE,
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
         common.tidy()
         blobs = dict(zip(pdf["shard"], pdf["blob"], strict=True))
-        words, (count,) = _words_of(blobs.pop(-1))
+        words, (count, shared) = _words_of(blobs.pop(-1))
         a = automaton.value
         spelled = a.score(words)
         if words and words[0] == b"":
@@ -467,13 +521,9 @@ def score(docs: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE,
         rows = []
         for shard, blob in blobs.items():
             (number,) = common.expand(blob)
-            rows.append((shard, int(pdf["bucket"].iloc[0]), common.squeeze(count[number], spelled[number].astype(np.float32), number)))
+            rows.append((shard, int(pdf["bucket"].iloc[0]), common.squeeze(count[number], spelled[number].astype(np.float32), number, shared[number])))
         return pd.DataFrame(rows, columns=["shard", "bucket", "blob"])
 
-    def answer_contexts(pdf: pd.DataFrame) -> pd.DataFrame:
-        common.tidy()
-        return pd.DataFrame({"shard": pdf["shard"], "bucket": pdf["bucket"], "blob": [common.squeeze(*x) for x in merge_contexts([tuple(common.expand(b)) for b in pdf["blob"]])]})
-
     def with_answers(answers: list[DataFrame]) -> DataFrame:
         every = answers[0]
         for a in answers[1:]:
@@ -484,8 +534,21 @@ def score(docs: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE,
     def answered(answers: list[DataFrame], length: int) -> DataFrame:
         def list_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for shard, docs, rows in common.each_shard(batches):
-                found, p, _ = _Shard(docs).read(rows, length)
-                yield from found.lists(shard, context_buckets, p)
+                found, p, _ = _Shard(docs).read(rows, length, names)
+                yield from found.lists(shard, p)
+
+        def answer_contexts(pdf: pd.DataFrame) -> pd.DataFrame:
+            common.tidy()
+            lists = []
+            for blob in pdf["blob"]:
+                steps, *rest = common.expand(blob)
+                lists.append((np.cumsum(steps), *rest))
+            blobs = []
+            for *counts, place in merge_contexts(lists, places=True):
+                # The longest contexts don't grow.
+                shared = place >= 0 if length < order else np.zeros(0, bool)
+                blobs.append(common.squeeze(*counts, shared.astype(np.uint8), np.diff(place[shared] if len(shared) else place[:0], prepend=0)))
+            return pd.DataFrame({"shard": pdf["shard"], "bucket": pdf["bucket"], "blob": blobs})
 
         lists = with_answers(answers).mapInArrow(list_contexts, _ROWS_SQL)
         return common.materialize(lists.groupBy("bucket").applyInPandas(answer_contexts, _ROWS_SQL).withColumn("kind", F.lit(length)), "lm-answers")
@@ -501,7 +564,7 @@ def score(docs: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE,
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for blob, rows in common.each_shard(batches):
             own = _Shard(blob)
-            found, word, count = own.read(rows, order)
+            found, word, count = own.read(rows, order, names)
             if order:
                 found.apply([r for r in rows if r["kind"] == order], word)
             sums = lambda x: np.add.reduceat(x, own.starts) if len(own.starts) else np.empty(0)
@@ -514,8 +577,27 @@ def score(docs: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE,
     return with_answers(answers).select("docs", "rows").mapInArrow(add_up, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def merge_contexts(lists: list[tuple[np.ndarray, ...]]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each list (contexts, how many words follow each, words, counts, log10 under the parent) the count of each pair, and of each context the count and the number of different words after it; 0 if the context is no state."""
+def judge(head: np.ndarray, count: np.ndarray, parent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The count of each context and the number of different words after it, both 0 if it is no state; its words begin at ``head``, with their counts and log10 probabilities under the parent."""
+    if not len(head):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    of, log_p = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(count)))), parent.astype(float) * math.log(10)
+    n, types = np.add.reduceat(count, head), np.add.reduceat((count > 0).astype(np.int64), head)
+    # With one occurrence of the word left out, a word that came once is new to the context; a context's only occurrence stays.
+    seen = np.flatnonzero((count > 0) & (n[of] >= LEAST_TIMES))
+    out_of = n[of[seen]] > 1
+    c, weight = count[seen], WORD_SMOOTHING * (types[of[seen]] - (out_of & (count[seen] == 1)))
+    with np.errstate(divide="ignore"):
+        gained = c * (np.logaddexp(np.log(c - out_of), np.log(weight) + log_p[seen]) - log_p[seen] - np.log(n[of[seen]] - out_of + weight))
+    state = np.bincount(of[seen], gained, minlength=len(head)) >= WORD_GAIN
+    return np.where(state, n, 0), np.where(state, types, 0)
+
+
+def merge_contexts(lists: list[tuple[np.ndarray, ...]], places: bool = False) -> list[tuple[np.ndarray, ...]]:
+    """For each list (contexts, how many words follow each, words, counts, log10 under the parent) the count of each pair, and of each context the count and the number of different words after it; 0 if the context is no state.
+
+    With ``places`` also each pair's place among all, or -1 if one list alone has it.
+    """
     before = np.concatenate([np.repeat(x[0], x[1]) for x in lists])
     after, counts, parent = (np.concatenate([x[k] for x in lists]) for k in (2, 3, 4))
     order = np.lexsort((after, before))
@@ -525,18 +607,11 @@ def merge_contexts(lists: list[tuple[np.ndarray, ...]]) -> list[tuple[np.ndarray
     place = np.empty(len(order), np.int64)
     place[order] = np.cumsum(first) - 1
     spots = np.flatnonzero(first)
-    count, log_p = np.add.reduceat(counts[order].astype(np.int64), spots), parent[order[spots]].astype(float) * math.log(10)
-    head, of = np.flatnonzero(new[first]), np.cumsum(new[first]) - 1
-    n, types = np.add.reduceat(count, head), np.add.reduceat((count > 0).astype(np.int64), head)
-    # With one occurrence of the word left out, a word that came once is new to the context; a context's only occurrence stays.
-    seen = np.flatnonzero((count > 0) & (n[of] >= LEAST_TIMES))
-    out_of = n[of[seen]] > 1
-    c, weight = count[seen], WORD_SMOOTHING * (types[of[seen]] - (out_of & (count[seen] == 1)))
-    with np.errstate(divide="ignore"):
-        gained = c * (np.logaddexp(np.log(c - out_of), np.log(weight) + log_p[seen]) - log_p[seen] - np.log(n[of[seen]] - out_of + weight))
-    state = np.bincount(of[seen], gained, minlength=len(head)) >= WORD_GAIN
+    count = np.add.reduceat(counts[order].astype(np.int64), spots)
+    n, types = judge(np.flatnonzero(new[first]), count, np.minimum.reduceat(parent[order], spots))
+    of, several = np.cumsum(new[first]) - 1, np.diff(np.append(spots, len(order))) > 1
     out = []
     for (context, lens, *_), own in zip(lists, np.split(place, np.cumsum([len(x[2]) for x in lists])[:-1]), strict=True):
         its = of[own[np.cumsum(lens) - lens]] if len(context) else np.empty(0, np.int64)
-        out.append((count[own], np.where(state, n, 0)[its], np.where(state, types, 0)[its]))
+        out.append((count[own], n[its], types[its], *([np.where(several[own], own, -1)] if places else [])))
     return out
