@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from corvidex.llm import common
 from corvidex.llm import suffix_tree_lm as lm
 
 
@@ -39,6 +40,47 @@ def test_scores(docs):
         assert -math.inf < r.score < 0
 
 
+def test_scores_do_not_depend_on_shards(docs, monkeypatch):
+    """Contexts that one shard alone has are judged there: with all texts in one, few in each, or one in each."""
+    rows = [(i, t) for i, t in enumerate(corpus(n=60)) if t]
+    want = {r.doc_id: r.score for r in lm.score(docs(rows, partitions=1), order=2).collect()}
+    few = {r.doc_id: r.score for r in lm.score(docs(rows, partitions=6), order=2).collect()}
+    monkeypatch.setattr(lm, "SHARD_BYTES", 1)
+    alone = {r.doc_id: r.score for r in lm.score(docs(rows, partitions=3), order=2).collect()}
+    assert few == pytest.approx(want, abs=1e-6) and alone == pytest.approx(want, abs=1e-6)
+
+
+def test_words_of_a_shard():
+    texts = [b"", b" a\tB\n\x0b\x0ca  ", "Ünder É\u00a0x\u2003y NEW\x85w".encode(), b"\x1c\x1fA\x00 b", b"a", b"   ", b"\xff\xfe q"]
+    texts += [random.Random(k).randbytes(300) for k in range(20)]
+    for some in (texts, [b""], [b"a b"], []):
+        words, docs = lm._numbered(common.pack_texts(list(range(len(some))), some), 3)
+        own, known = lm._Shard(docs), common.zstandard.decompress(words).split(b" ")
+        got = [[known[k] for k in own.tokens[a : z + 1]] for a, z in zip(own.starts, own.ends, strict=True)]
+        assert got == [[*lm.tokens(t), b""] for t in some]
+        assert all(known[a:z] == sorted(known[a:z]) for a, z in zip(own.cut, own.cut[1:], strict=False))
+
+
+@pytest.mark.parametrize("buckets", [1, 2, 7, 64])
+def test_names_are_distinct(buckets):
+    names = lm._Names(buckets, 5)
+    bucket, place = (x.ravel() for x in np.meshgrid(np.arange(max(buckets, 6)), np.arange(500)))
+    got = names.of(bucket, place)
+    assert len(np.unique(got)) == len(got) and (got < lm.LONE).all()
+    got, order = np.sort(got), np.argsort(got)
+    cut = names.cut(got)
+    assert cut[0] == 0 and all((place[order[cut[b] : cut[b + 1]]] % buckets == b).all() for b in range(buckets))
+    with pytest.raises(ValueError):
+        names.of(0, np.array([2**63], np.uint64))
+
+
+def test_arranged():
+    code = np.random.default_rng(0).integers(0, 1 << 20, 1000)
+    for bits in (20, 60):
+        ranked, by = lm._arranged(code, bits)
+        assert (ranked == np.sort(code)).all() and (code[by] == ranked).all()
+
+
 def test_copies_are_likelier(docs):
     rng = random.Random(9)
     words = [f"w{k}" for k in range(400)]
