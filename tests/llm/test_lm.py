@@ -186,6 +186,53 @@ def plain_tree(texts, order, root):
     return {i: score(["<", *t, None]) for i, t in texts["all"].items()}, states
 
 
+def plain_root(train, depth, least_share, divergence, smoothing):
+    """A word's probability without word contexts, and the byte contexts that are states, as the definition has it; ``train`` counts words, None is a text's end."""
+    follow = {}
+    for w, c in train.items():
+        read = b" "
+        for s in (w or b"") + b" " if w is not None else b"":
+            for d in range(min(depth, len(read)) + 1):
+                follow.setdefault(read[len(read) - d :], Counter())[s] += c
+            read += bytes([s])
+    spelled = sum(follow[b""].values())
+    follow = {k: v for k, v in follow.items() if sum(v.values()) >= least_share * spelled}
+    for k in (b"", b" "):
+        follow[k][lm.END] = train[None]
+    total = sum(follow[b""].values())
+    # 252 symbols: all bytes but four blanks, with the text's end.
+    states = {b"": {s: (follow[b""][s] + 0.5) / (total + 0.5 * 252) for s in range(256)}}
+    longest = lambda read: next(states[read[k:]] for k in range(len(read) + 1) if read[k:] in states)
+    for context in sorted(follow, key=len)[1:]:
+        own, n, up = follow[context], sum(follow[context].values()), longest(context[1:])
+        gain = sum(c * math.log(c / n / up[s]) for s, c in own.items())
+        if n >= least_share * total and gain >= divergence * len(own) or context == b" ":
+            states[context] = {s: (own[s] + smoothing * up[s]) / (n + smoothing) for s in range(256)}
+
+    def spell(w):
+        if w is None:
+            return longest(b" ")[lm.END]
+        p, read = 1.0, b" "
+        for s in w + b" ":
+            p, read = p * longest(read)[s], read + bytes([s])
+        return p
+
+    n, types = sum(train.values()), len(train)
+    return lambda w: (train[w] + types * spell(w)) / (n + types), states, follow
+
+
+@pytest.mark.parametrize(("depth", "least_share"), [(1, 0.0005), (3, 0.002), (5, 0.0001)])
+def test_spelling_against_a_plain_tree(docs, depth, least_share):
+    rows = list(enumerate(corpus(seed=5, n=120)))
+    split = lambda t: [*lm.tokens((t or "").encode()), None]
+    train = Counter(w for i, t in rows if not lm.held_out(i) for w in split(t))
+    root, states, follow = plain_root(train, depth, least_share, lm.DIVERGENCE, lm.SMOOTHING)
+    assert any(len(s) == depth for s in states)
+    assert depth == 1 or any(c not in states for c in follow)
+    got = {r.doc_id: r.score for r in lm.score(docs(rows, partitions=4), depth=depth, least_share=least_share, order=0).collect()}
+    assert got == pytest.approx({i: sum(math.log10(root(w)) for w in split(t)) for i, t in rows}, rel=1e-4, abs=1e-3)
+
+
 @pytest.mark.parametrize("order", [1, 2, 3])
 def test_scores_against_a_plain_tree(docs, order):
     rng = random.Random(4)
