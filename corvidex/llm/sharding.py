@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import math
+import time
 import uuid
 from dataclasses import asdict, dataclass
 
@@ -23,6 +24,8 @@ TARGET_BYTES = 128 << 20
 FAN_OUT = 4
 #: Runs up to this size are the lowest tier.
 LOWEST_BYTES = 1 << 20
+#: After so long without a write, data that no version lists is a crashed writer's.
+ORPHAN_HOURS = 24.0
 
 
 class Conflict(RuntimeError):
@@ -174,14 +177,40 @@ class Store:
                 self._fs.delete(self._path(f"data/{merged.name}"), True)
         return manifest
 
-    def vacuum(self, keep_versions: int = 1) -> int:
-        """Delete data that none of the newest ``keep_versions`` lists; returns the number of runs that went."""
+    def vacuum(self, keep_versions: int = 1, orphan_hours: float = ORPHAN_HOURS) -> int:
+        """Delete data that only versions before the newest ``keep_versions`` list, and what crashed writers left; returns the number of runs that went.
+
+        A run that no version lists is a writer's that crashed, or one that has
+        yet to commit: it goes once its newest file is older than
+        ``orphan_hours``. Manifests stay, so that a late writer can't take the
+        number of an old version.
+        """
         held = self.versions()
         kept = {r.name for v in held[-keep_versions:] for r in self.manifest(v).runs}
-        gone = {r.name for v in held[:-keep_versions] for r in self.manifest(v).runs} - kept
-        for name in gone:
-            self._fs.delete(self._path(f"data/{name}"), True)
-        return len(gone)
+        listed = kept | {r.name for v in held[:-keep_versions] for r in self.manifest(v).runs}
+        gone = [*sorted(listed - kept), *self._orphans(listed, orphan_hours)]
+        return sum(self._fs.delete(self._path(f"data/{name}"), True) for name in gone)
+
+    def _orphans(self, listed: set[str], hours: float) -> list[str]:
+        """Runs that no version lists, without files of the last ``hours``."""
+        if not self._fs.exists(self._path("data")):
+            return []
+        before, found = (time.time() - hours * 3600) * 1000, []
+        for top in self._fs.listStatus(self._path("data")):
+            name = top.getPath().getName()
+            inner = [s for s in self._fs.listStatus(top.getPath()) if s.isDirectory()]
+            # A batch has a folder for each of its runs.
+            split = any("=" in s.getPath().getName() for s in inner)
+            runs = [(f"{name}/{s.getPath().getName()}", s) for s in inner] if split else [(name, top)]
+            found += [run for run, status in runs if run not in listed and self._newest(status) < before]
+        return found
+
+    def _newest(self, status) -> int:
+        """When a folder or a file anywhere in it was last written, in milliseconds."""
+        newest, files = status.getModificationTime(), self._fs.listFiles(status.getPath(), True)
+        while files.hasNext():
+            newest = max(newest, files.next().getModificationTime())
+        return newest
 
 
 #: Arrivals that the query deals the documents into.

@@ -6,6 +6,7 @@ import dataclasses
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -247,6 +248,27 @@ def test_sharding_versions(docs, tmp_path, spark):
     assert store.vacuum() == 3 and store.read().count() == 4
 
 
+def test_vacuum_of_crashed_writers(docs, tmp_path, spark):
+    """A run that was never committed goes when it is old enough; a batch loses its unlisted runs only."""
+    store = sharding.Store(spark, f"file://{tmp_path}/store", fan_out=2)
+    assert store.vacuum() == 0
+    store.append(docs(["a", "b"]))
+    crashed = store._write(docs(["never committed"]))
+    store.append_split(docs(["c", "d"]).selectExpr("*", "doc_id AS arrival"), "arrival")
+    batch = next(r.name.split("/")[0] for r in store.manifest().runs if "/" in r.name)
+    (tmp_path / "store/data" / batch / "arrival=9").mkdir()
+    (tmp_path / "store/data/run-died").mkdir()
+    (tmp_path / "store/data/run-died/_temporary").mkdir()
+    assert store.vacuum() == 0 and (tmp_path / "store/data" / crashed.name).exists()  # it may be at work
+    time.sleep(0.1)
+    assert store.vacuum(orphan_hours=0) == 3 and store.vacuum(orphan_hours=0) == 0
+    left = {p.name for p in (tmp_path / "store/data").iterdir()}
+    assert crashed.name not in left and "run-died" not in left
+    assert sorted(r.text for r in store.read().collect()) == ["a", "b", "c", "d"]
+    store.compact()
+    assert store.vacuum() > 0 and store.vacuum() == 0 and store.read().count() == 4
+
+
 def plain_best_fit(sizes, sources, clusters, capacity):
     """Every bin is looked at for each item."""
     bins, out = [], []
