@@ -330,13 +330,25 @@ def per_doc_scanned_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc", F.col("page_count").cast("long").alias("page_count"), F.col("page_profile")["scanned"].cast("long").alias("scanned")).where("scanned > 0")
 
 
+#: Partitions of the table function, each with many documents; they are dealt to tasks by hash.
+_FOLD_BUCKETS = 4096
+
+
 @query(f"""SELECT doc, CAST(n AS INT) AS page_count, profile AS page_profile, coalesce(run, 0) AS longest_scanned_run FROM (SELECT doc, sum(n) AS n, string_agg(class || '=' || n, ',' ORDER BY class) AS profile FROM (SELECT doc, class, count(*) AS n FROM ({LINES_SQL}) GROUP BY doc, class) GROUP BY doc)
   LEFT JOIN (SELECT doc, CAST(max(n) AS INT) AS run FROM (SELECT doc, g, count(*) AS n FROM (SELECT doc, class, page - row_number() OVER (PARTITION BY doc, class ORDER BY page) AS g FROM ({LINES_SQL})) WHERE class = 'scanned' GROUP BY doc, g) GROUP BY doc) USING (doc)""")
 def folded_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table function ``fold_pages`` in SQL, over the pages of each document in their order."""
-    register.register(spark)
-    _class_of(spark, sf_dir).createOrReplaceTempView("corvidex_pages")
-    found = spark.sql("SELECT * FROM fold_pages(TABLE(SELECT doc, page, min(class) AS class FROM corvidex_pages GROUP BY doc, page) PARTITION BY doc ORDER BY page)")
+    """The table function ``fold_many_pages`` in SQL, over the pages of each document in their order.
+
+    Pages cross the network once, by bucket: the grouping and the function need no other order of tasks.
+    The least class of a page is found by its place in the alphabet, which is a number.
+    """
+    spark.udtf.register("fold_many_pages", register.fold_many_pages("doc", "bigint"))
+    named = sorted(rules.PAGE_CLASSES)
+    place = F.array_position(F.array(*map(F.lit, named)), F.col("class")).cast("int")
+    _class_of(spark, sf_dir).select(F.pmod(F.hash("doc"), F.lit(_FOLD_BUCKETS)).alias("bucket"), "doc", "page", place.alias("place")).createOrReplaceTempView("corvidex_pages")
+    classes = ", ".join(f"'{c}'" for c in named)
+    one_class = f"SELECT doc, page, element_at(array({classes}), min(place)) AS class, bucket FROM (SELECT /*+ REPARTITION(bucket) */ * FROM corvidex_pages) GROUP BY bucket, doc, page"
+    found = spark.sql(f"SELECT * FROM fold_many_pages(TABLE({one_class}) PARTITION BY bucket ORDER BY (doc, page))")
     pairs = F.transform(F.array_sort(F.map_entries("page_profile")), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
     return found.select("doc", "page_count", F.array_join(pairs, ",").alias("page_profile"), "longest_scanned_run")
 

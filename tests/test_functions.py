@@ -1,12 +1,14 @@
 from __future__ import annotations
 
 import pathlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from corvidex import rules
-from corvidex.functions import content, ocr, pages, paths, text
+from corvidex.functions import content, ocr, pages, paths, register, text
+from corvidex.plans import catalogue
 
 
 def one(spark, value, kind, f):
@@ -92,3 +94,30 @@ def test_encoding(spark):
     data = [(b"plain",), ("grün".encode(),), ("grün ".encode() * 3)[:-3] and ("ü".encode()[:1],), (b"",), (None,)]
     got = [r[0] for r in spark.createDataFrame([(bytearray(x[0]) if x[0] is not None else None,) for x in data], "b binary").select(content.detect_encoding("b")).collect()]
     assert got[:2] == ["ascii", "utf-8"] and got[3:] == [None, None]
+
+
+def test_fold_many_pages(spark):
+    """As fold_pages, with documents over several batches and partitions, in any number of tasks."""
+    rng = random.Random(5)
+    rows = [(key, page, rng.choice(["scanned", "scanned", "slide_style", "table_heavy"])) for key in [None, *range(60)] for page in rng.sample(range(40), rng.choice([1, 2, 3, 30]))]
+    rows += [(99, page, "scanned" if page != 7 else "table_heavy") for page in range(1, 200)] + [(98, None, "scanned")]
+    spark.createDataFrame(rows, "doc long, page int, class string").createOrReplaceTempView("fold_test")
+    register.register(spark)
+    spark.udtf.register("fold_many_pages", register.fold_many_pages("doc", "bigint"))
+    want = spark.sql("SELECT * FROM fold_pages(TABLE(fold_test) PARTITION BY doc ORDER BY page)").collect()
+    assert {r.doc: r.longest_scanned_run for r in want}[99] == 192
+    for batch in ("10000", "7", "1"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        found = spark.sql("SELECT * FROM fold_many_pages(TABLE(fold_test) PARTITION BY pmod(hash(doc), 3) ORDER BY (doc, page))").collect()
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert sorted(map(repr, map(_sorted_map, found))) == sorted(map(repr, map(_sorted_map, want)))
+
+
+def _sorted_map(row):
+    return row.doc, row.page_count, sorted(row.page_profile.items()), row.longest_scanned_run
+
+
+def test_folded_pages_plan(spark, sf):
+    """Pages are shuffled once, grouped by hash and folded in Arrow batches."""
+    plan = spark._jvm.PythonSQLUtils.explainString(catalogue.QUERIES["folded_pages"](spark, sf)._jdf.queryExecution(), "simple")
+    assert plan.count("Exchange") == 1 and "SortAggregate" not in plan and "ArrowEvalPythonUDTF" in plan
