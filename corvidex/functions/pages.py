@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import rules
-from .text import strip_length
+from .text import has_ink
 
 
 def area_ratio(boxes: Column, width: Column, height: Column) -> Column:
@@ -24,7 +24,7 @@ def upper_median(values: Column) -> Column:
 
 def heading_count(spans: Column, text_chars: Column, least_chars: int = rules.SCANNED_CHARS, factor: float = rules.HEADING_FACTOR) -> Column:
     """Spans that are clearly larger than the median span; blank spans don't count."""
-    sizes = F.transform(F.filter(spans, lambda s: strip_length(s["text"]) > 0), lambda s: s["size"])
+    sizes = F.transform(F.filter(spans, lambda s: has_ink(s["text"])), lambda s: s["size"])
     return _once(sizes, lambda found: F.when((text_chars >= least_chars) & (F.size(found) > 0), larger_than_median(found, factor)).otherwise(F.lit(0)))
 
 

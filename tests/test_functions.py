@@ -121,3 +121,15 @@ def test_folded_pages_plan(spark, sf):
     """Pages are shuffled once, grouped by hash and folded in Arrow batches."""
     plan = spark._jvm.PythonSQLUtils.explainString(catalogue.QUERIES["folded_pages"](spark, sf)._jdf.queryExecution(), "simple")
     assert plan.count("Exchange") == 1 and "SortAggregate" not in plan and "ArrowEvalPythonUDTF" in plan
+
+
+@pytest.mark.parametrize("s", ["x", " x", "x ", "xäö", "ä x ", "\x7f", "x\x1c", "　x　", "x\u0085", " ", "", "😀 😀".encode("utf-16", "surrogatepass").decode("utf-16"), None])
+def test_strip_length_by_bytes(spark, s):
+    assert one(spark, s, "string", text.strip_length) == (None if s is None else len(s.strip()))
+    assert one(spark, s, "string", text.has_ink) == (None if s is None else bool(s.strip()))
+
+
+def test_strip_length_looks_at_bytes_first(spark):
+    """A character is counted from a text's end, a walk over all of it, only where the end bytes leave a doubt."""
+    plan = spark._jvm.PythonSQLUtils.explainString(spark.range(1).select(F.repeat(F.lit("w"), F.col("id").cast("int")).alias("t")).select(text.strip_length(F.col("t")))._jdf.queryExecution(), "simple")
+    assert -1 < plan.find("cast(t") < plan.find("RLIKE")
