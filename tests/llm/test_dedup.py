@@ -371,3 +371,23 @@ def test_edited_passages_at_the_threshold_share_a_key():
 def test_edited_passages_against_brute_force(docs):
     texts = edited_families(11, 8)
     assert {r.doc_id: r.class_id for r in substring_dedup.classes(docs(texts)).collect()} == plain_classes(texts)
+
+
+def test_windows_meet_hubs_at_once():
+    """Which windows can hold a passage of their hub is told for many at once, as for one; trees and shared keys equal plain ones."""
+    rng = np.random.default_rng(3)
+    hubs = [rng.integers(0, 5000, 91).astype(np.uint32) for _ in range(40)]
+    pairs = []
+    for _ in range(600):
+        hub, run = hubs[rng.integers(40)], rng.integers(0, 1 << 32, rng.integers(1, 92)).astype(np.uint32)
+        n = min(int(rng.integers(0, 92)), len(run))
+        run[:n] = hub[:n]
+        if len(run) > 3 and rng.random() < 0.3:
+            run[2] = run[0]
+        pairs.append((run, hub))
+    want = [substring_dedup._may_hold(x, np.sort(y), 46, 0.8) for x, y in pairs]
+    assert substring_dedup._may_hold_each([x.tobytes() for x, _ in pairs], [y.tobytes() for _, y in pairs], 46, 0.8).tolist() == want
+    assert 100 < sum(want) < 500
+    for n, most in ((0, 3), (1, 3), (2, 3), (300, 4), (300, 1 << 40)):
+        values = rng.integers(0, most, n).astype(np.uint64)
+        assert substring_dedup._before(values).tolist() == [max((j for j in range(i) if values[j] <= values[i]), default=-1) for i in range(n)]
